@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAR, silver_roles
 from ..functions import round_he
-from . import dashboard, gold, gold_v1
+from . import dashboard, gold, gold_v1, stages
 from . import sqlgen as S
 from .silver import silver_sql, star_silver
 
@@ -115,4 +115,7 @@ def registry() -> dict:
     _register(reg, "latest_years_slice",
               lambda spark, d: D.latest_years_slice(D.dash_frame(star_silver(spark, d), SR)),
               _sql(d_sql["latest_years_slice"]))
+    st_sql = stages.oracle()
+    for name, fn in stages.QUERIES.items():
+        _register(reg, name, fn, st_sql.get(name))
     return reg
