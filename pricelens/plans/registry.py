@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAR, silver_roles
 from ..functions import round_he
-from . import dashboard, gold, gold_v1, stages
+from . import dashboard, gold, gold_v1, quality_q, stages
 from . import sqlgen as S
 from .silver import silver_sql, star_silver
 
@@ -28,6 +28,7 @@ STABLE = {
     "ethanol_ratio_history": ["substitute_price", "reference_price"],
     "price_volume_elasticity": ["price_volume_corr", "price_mean"],
     **gold_v1.STABLE,
+    **quality_q.STABLE,
     "dash_evolution": ["price_mean"],
     "dash_regional_main": ["price_mean"],
     "viability_by_state_month": ["pair_ratio"],
@@ -115,6 +116,9 @@ def registry() -> dict:
     _register(reg, "latest_years_slice",
               lambda spark, d: D.latest_years_slice(D.dash_frame(star_silver(spark, d), SR)),
               _sql(d_sql["latest_years_slice"]))
+    q_sql = quality_q.oracle()
+    for name, fn in quality_q.QUERIES.items():
+        _register(reg, name, fn, q_sql.get(name))
     st_sql = stages.oracle()
     for name, fn in stages.QUERIES.items():
         _register(reg, name, fn, st_sql.get(name))
