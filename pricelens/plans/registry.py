@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAR, silver_roles
 from ..functions import round_he
-from . import dashboard, gold, gold_v1, quality_q, stages
+from . import dashboard, gold, gold_v1, io_q, quality_q, stages
 from . import sqlgen as S
 from .silver import silver_sql, star_silver
 
@@ -119,6 +119,9 @@ def registry() -> dict:
     q_sql = quality_q.oracle()
     for name, fn in quality_q.QUERIES.items():
         _register(reg, name, fn, q_sql.get(name))
+    io_sql = io_q.oracle()
+    for name, fn in io_q.QUERIES.items():
+        _register(reg, name, fn, io_sql.get(name))
     st_sql = stages.oracle()
     for name, fn in stages.QUERIES.items():
         _register(reg, name, fn, st_sql.get(name))
