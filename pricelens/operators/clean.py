@@ -147,11 +147,34 @@ def standardize_columns(df: DataFrame, rename=C.FUEL_V1_RENAME,
     return df.withColumns(out) if out else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
+
+    Cuts the lineage (a lost executor re-reads the checkpoint instead of
+    re-running the join and shuffle) and lets several passes over the same
+    rows read them once materialised.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        d = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            return df
+        sc.setCheckpointDir(d)
+    return df.checkpoint(eager=True)
+
+
 def silver_clean(df: DataFrame, roles: PanelRoles, exclude_text=(), k: float = 3.0,
-                 date_source: str | None = None) -> DataFrame:
-    """Dedup -> text -> (positive, sigma) per value column -> valid dates."""
+                 date_source: str | None = None, checkpoint: bool = False) -> DataFrame:
+    """Dedup -> text -> (positive, sigma) per value column -> valid dates.
+
+    The sigma cuts need two global passes (the cost threshold is computed on
+    the rows left by the price cut); the deduplicated rows are checkpointed
+    once so neither pass re-runs the upstream joins and dedup shuffle.
+    """
     df = dedup_keep_first(df, roles)
     df = clean_text(df, exclude=tuple(exclude_text))
+    if checkpoint:
+        df = materialize(df)
     for c in (roles.price, roles.cost):
         if c in df.columns:
             df = df.withColumn(c, F.col(c).try_cast("double")) \

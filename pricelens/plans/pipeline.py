@@ -71,7 +71,7 @@ def run_silver(spark: SparkSession, bronze_path: str, roles: PanelRoles, out: st
     t0 = time.time()
     try:
         b = files.read_layer(spark, bronze_path)
-        s = build_silver(b, roles.with_(date="data_coleta_parsed"))
+        s = build_silver(b, roles.with_(date="data_coleta_parsed"), checkpoint=True)
         s = s.withColumns({"ano": F.col(roles.year), "mes": F.col(roles.month)}) \
             if roles.year != "ano" else s
         files.write_layer(s, out)

@@ -13,9 +13,12 @@ from ..sources.panel import PANEL_SQL, star_panel
 from . import sqlgen as S
 
 
-def build_silver(df: DataFrame, roles: PanelRoles, date_source: str | None = None) -> DataFrame:
-    """R5 -> R6 -> R7 as one lazy plan."""
-    df = silver_clean(df, roles, date_source=date_source)
+def build_silver(df: DataFrame, roles: PanelRoles, date_source: str | None = None,
+                 checkpoint: bool = False) -> DataFrame:
+    """R5 -> R6 -> R7. Lazy by default, so a query that needs five columns
+    reads five; the Silver job (which writes every column) checkpoints the
+    deduplicated rows instead of re-running the joins for each sigma pass."""
+    df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint)
     df = silver_normalize(df, roles)
     return silver_enrich(df, roles)
 

@@ -20,6 +20,7 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
