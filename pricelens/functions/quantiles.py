@@ -68,7 +68,11 @@ def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = Non
             .agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
                  F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
                  F.first("_h").alias("_h"), F.first("_lo").alias("_lo"))
-            .withColumn("_q", F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))))
+            .withColumn("_d", F.col("_h") - F.col("_lo"))
+            # A midpoint is computed as (lo + hi) / 2, the correctly rounded
+            # value; other fractions interpolate lo + d * (hi - lo).
+            .withColumn("_q", F.when(F.col("_d") == 0.5, (F.col("_vlo") + F.col("_vhi")) * 0.5)
+                               .otherwise(F.col("_vlo") + F.col("_d") * (F.col("_vhi") - F.col("_vlo")))))
     names = list(specs)
     if keys:
         return q.groupBy(*keys).pivot("_out", names).agg(F.first("_q"))
