@@ -10,6 +10,12 @@ needed for each quantile are then picked with an equi-join on (group, rank).
 
 ``strategy="hash"`` uses the built-in ``percentile`` aggregate instead, which
 is fine when groups are known to be small.
+
+``strategy="auto"`` (default) splits by measured group size: groups with at
+most ``max_group`` values use the built-in exact ``percentile`` (its buffer is
+then bounded by ``max_group``), and only larger, hot groups take the
+range-partitioned path. Sizes come from one partial/final grouped count; the
+hot path runs only when such groups exist.
 """
 
 from __future__ import annotations
@@ -19,10 +25,12 @@ import os
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_STRATEGY = os.environ.get("PRICELENS_QUANTILES", "sort")
+DEFAULT_STRATEGY = os.environ.get("PRICELENS_QUANTILES", "auto")
+MAX_GROUP = int(os.environ.get("PRICELENS_QUANTILE_MAX_GROUP", "2000000"))
 
 
-def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = None,
+                    max_group: int | None = None) -> DataFrame:
     """specs = {out_name: (value_column, probability)} -> keys + out columns.
 
     Null values are ignored; a group with no values gets no row.
@@ -40,6 +48,37 @@ def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = Non
                  .select(*keys, "_s._m", "_s._v")
                  .filter(F.col("_v").isNotNull()))
     gk = keys + ["_m"]
+    names = list(specs)
+    if strategy == "auto":
+        limit = max_group or MAX_GROUP
+        hot = (stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") > limit).select(*gk))
+        if hot.isEmpty():
+            return _hashed_quantiles(stacked, keys, specs, measures)
+        cold = _hashed_quantiles(stacked.join(hot, gk, "left_anti"), keys, specs, measures)
+        warm = _sorted_quantiles(stacked.join(hot, gk, "left_semi"), keys, gk, specs, names)
+        # A group is hot for one measure and cold for another at most: take
+        # the non-null value per output column.
+        return (cold.unionByName(warm, allowMissingColumns=True)
+                    .groupBy(*keys).agg(*[F.max(n).alias(n) for n in names]))
+    return _sorted_quantiles(stacked, keys, gk, specs, names)
+
+
+def _hashed_quantiles(stacked: DataFrame, keys, specs: dict, measures) -> DataFrame:
+    """Built-in exact ``percentile`` per (group, measure), one column per spec."""
+    out = None
+    for m in measures:
+        mine = {n: p for n, (c, p) in specs.items() if c == m}
+        part = (stacked.filter(F.col("_m") == m).groupBy(*keys)
+                       .agg(*[F.percentile("_v", p).alias(n) for n, p in mine.items()]))
+        if out is None:
+            out = part
+        else:
+            out = out.join(part, keys, "full") if keys else _attach_global(out, part)
+    return out
+
+
+def _sorted_quantiles(stacked: DataFrame, keys, gk, specs: dict, names) -> DataFrame:
 
     srt = (stacked.repartitionByRange(*gk, "_v").sortWithinPartitions(*gk, "_v")
                   .withColumn("_pid", F.spark_partition_id())
@@ -73,12 +112,42 @@ def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = Non
             # value; other fractions interpolate lo + d * (hi - lo).
             .withColumn("_q", F.when(F.col("_d") == 0.5, (F.col("_vlo") + F.col("_vhi")) * 0.5)
                                .otherwise(F.col("_vlo") + F.col("_d") * (F.col("_vhi") - F.col("_vlo")))))
-    names = list(specs)
     if keys:
         return q.groupBy(*keys).pivot("_out", names).agg(F.first("_q"))
     return q.groupBy().pivot("_out", names).agg(F.first("_q"))
 
 
+def has_hot_groups(df: DataFrame, keys, columns, limit: int | None = None) -> bool:
+    """True when some group holds more than ``limit`` non-null values of a column
+    (one grouped count, partial aggregation map-side; a boolean reaches the driver)."""
+    limit = limit or MAX_GROUP
+    sizes = df.groupBy(*keys).agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
+    cond = None
+    for i in range(len(columns)):
+        c = F.col(f"_n{i}") > limit
+        cond = c if cond is None else (cond | c)
+    return not sizes.filter(cond).isEmpty()
+
+
+def agg_with_quantiles(df: DataFrame, keys, aggs: list, specs: dict,
+                       strategy: str | None = None) -> DataFrame:
+    """groupBy(keys).agg(aggs) plus exact quantiles ``specs``.
+
+    Without hot groups everything is one aggregation; otherwise the quantiles
+    come from ``exact_quantiles`` (hot groups on the range-partitioned path)
+    and are joined to the grouped statistics on the group key.
+    """
+    keys = list(keys)
+    if not specs:
+        return df.groupBy(*keys).agg(*aggs)
+    strategy = strategy or DEFAULT_STRATEGY
+    cols = sorted({c for c, _ in specs.values()})
+    if strategy == "hash" or (strategy == "auto" and not has_hot_groups(df, keys, cols)):
+        q = [F.percentile(F.col(c), p).alias(n) for n, (c, p) in specs.items()]
+        return df.groupBy(*keys).agg(*aggs, *q)
+    return with_quantiles(df.groupBy(*keys).agg(*aggs), df, keys, specs, strategy)
+
+
 def with_quantiles(agg: DataFrame, df: DataFrame, keys, specs: dict,
                    strategy: str | None = None) -> DataFrame:
     """Attach exact quantiles of ``df`` by ``keys`` to the grouped frame ``agg``."""

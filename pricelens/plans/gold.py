@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import PanelRoles
 from ..functions import (avg_rank, first_label_max, first_label_min, not_null_keys,
                          pct_change, round_he, safe_corr, safe_div)
-from ..functions.quantiles import with_quantiles
+from ..functions.quantiles import agg_with_quantiles
 from . import sqlgen as S
 
 
@@ -25,9 +25,8 @@ def _r3(cols: dict) -> list:
 def _grouped(df, keys, aggs: dict, medians: dict | None = None):
     """groupBy(keys) with rounded aggregates (+ exact medians, also rounded)."""
     df = not_null_keys(df, keys)
-    out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    if medians:
-        out = with_quantiles(out, df, keys, {n: (c, 0.5) for n, c in medians.items()})
+    out = agg_with_quantiles(df, keys, [c.alias(n) for n, c in aggs.items()],
+                             {n: (c, 0.5) for n, c in (medians or {}).items()})
     names = list(aggs) + list(medians or {})
     return out.select(*keys, *[round_he(n, 3).alias(n) for n in names])
 

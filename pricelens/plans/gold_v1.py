@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import PanelRoles
 from ..functions import (first_label_max, first_label_min, not_null_keys, pct_change,
                          round_he, safe_div)
-from ..functions.quantiles import with_quantiles
+from ..functions.quantiles import agg_with_quantiles
 from . import sqlgen as S
 
 
@@ -28,10 +28,8 @@ def avg_2dp(c: str):
 
 def _agg(df, keys, aggs: dict, medians: dict | None = None):
     df = not_null_keys(df, keys)
-    out = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    if medians:
-        out = with_quantiles(out, df, keys, {n: (c, 0.5) for n, c in medians.items()})
-    return out
+    return agg_with_quantiles(df, keys, [c.alias(n) for n, c in aggs.items()],
+                              {n: (c, 0.5) for n, c in (medians or {}).items()})
 
 
 # N0 -------------------------------------------------------------------------
@@ -172,11 +170,10 @@ def dashboard_metrics(df: DataFrame, r: PanelRoles) -> DataFrame:
     month0 = F.trunc(F.col(r.date), "MM")
     cur = not_null_keys(df.filter(month0 == F.trunc(mx, "MM")), [r.product])
     prev = not_null_keys(df.filter(month0 == F.add_months(F.trunc(mx, "MM"), -1)), [r.product])
-    stats = with_quantiles(cur.groupBy(r.product).agg(
+    stats = agg_with_quantiles(cur, [r.product], [
         F.avg(r.price).alias("price_mean_current"), F.count(F.lit(1)).alias("n_obs"),
         F.count_distinct(r.state).alias("n_states"), F.count_distinct(r.region).alias("n_regions"),
-        avg_2dp("margin_pct").alias("margin_mean")), cur, [r.product],
-        {"price_median_current": (r.price, 0.5)})
+        avg_2dp("margin_pct").alias("margin_mean")], {"price_median_current": (r.price, 0.5)})
     p = prev.groupBy(r.product).agg(F.avg(r.price).alias("_prev"))
     regs = (not_null_keys(cur, [r.region]).groupBy(r.product, r.region).agg(F.avg(r.price).alias("_m"))
                .groupBy(r.product).agg(first_label_max(r.region, "_m").alias("dearest_region"),
