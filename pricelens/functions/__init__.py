@@ -22,6 +22,13 @@ def round_he(c, digits: int) -> Column:
     return F.rint(col(c) * F.lit(p)) / F.lit(p)
 
 
+def avg_fixed(c, digits: int) -> Column:
+    """Mean of a column held at ``digits`` decimals, summed exactly as integers
+    (deterministic whatever the summation order)."""
+    p = float(10 ** digits)
+    return F.sum(F.rint(col(c) * F.lit(p))) / F.count(col(c)) / F.lit(p)
+
+
 def safe_div(num, den) -> Column:
     """num / den, null when den is 0 or null (ANSI-safe)."""
     return F.try_divide(col(num), col(den))

@@ -110,17 +110,35 @@ def consistency(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
 
 
 def quality_report(df: DataFrame, rules: dict | None = None, keys=None) -> DataFrame:
-    """Q5: the long table of all metrics plus dataset size rows."""
-    info = df.agg(F.count(F.lit(1)).cast("double").alias("total_rows"))
-    parts = [
-        info.select(F.lit("total_rows").alias("metric"), F.lit(None).cast("string").alias("column_name"),
-                    F.col("total_rows").alias("score")),
-        info.select(F.lit("total_columns").alias("metric"), F.lit(None).cast("string").alias("column_name"),
-                    F.lit(float(len(df.columns))).alias("score")),
-        completeness(df), consistency(df),
-    ]
-    if rules:
-        parts.append(validity(df, rules))
+    """Q5: the long table of all metrics plus dataset size rows.
+
+    Row count, completeness, validity and the non-text consistency all come
+    from one aggregation pass; modal text lengths and key uniqueness are the
+    only other (grouped, partially aggregated) passes.
+    """
+    cols = df.columns
+    strs = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(qc(c)).alias(f"_c{i}") for i, c in enumerate(cols)]
+    items = [("total_rows", None, F.col("_n").cast("double")),
+             ("total_columns", None, F.lit(float(len(cols))))]
+    items += [("completeness", c, F.col(f"_c{i}") / F.col("_n")) for i, c in enumerate(cols)]
+    items += [("consistency", c, F.col(f"_c{i}") / F.col("_n")) for i, c in enumerate(cols) if c not in strs]
+    for j, (c, rule) in enumerate((rules or {}).items()):
+        e = _rule_expr(df, c, rule)
+        if e is None:
+            items.append(("validity", c, F.lit(0.0)))
+        else:
+            aggs.append(F.count_if(F.coalesce(e, F.lit(False))).alias(f"_v{j}"))
+            items.append(("validity", c, F.col(f"_v{j}") / F.col("_n")))
+    row = df.agg(*aggs)
+    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(c).cast("string").alias("column_name"),
+                             e.cast("double").alias("score")) for m, c, e in items])
+    one_pass = (row.select("_n", F.inline(arr))
+                   .filter(F.col("metric").isin("total_rows", "total_columns") | (F.col("_n") > 0))
+                   .drop("_n"))
+    parts = [one_pass]
+    if strs:
+        parts.append(consistency(df.select(*[qc(c) for c in cols if c in strs])))
     if keys:
         parts.append(uniqueness(df, keys).select(F.lit("uniqueness").alias("metric"),
                                                  F.lit(None).cast("string").alias("column_name"),
@@ -275,3 +293,15 @@ def schema_check(df: DataFrame, expected) -> dict:
     return {"missing_columns": sorted(set(expected) - actual),
             "extra_columns": sorted(actual - set(expected)),
             "schema_valid": not (set(expected) - actual)}
+
+
+def run_quality_checks_v1(df: DataFrame, required, price: str, cost: str, date_col: str,
+                          price_range, cost_range, date_range, geo: dict) -> dict:
+    """Q17: every first-generation check on one frame, as named DataFrames."""
+    checks = v1_checks(df, required)
+    prices = price_validation(df, price, cost, price_range, cost_range)
+    outliers = iqr_outliers(df, [price, cost])
+    ok = schema_check(df, required)["schema_valid"]
+    score = status_band(weighted_score(checks, ok, prices, outliers))
+    return {"checks": checks, "prices": prices, "dates": date_validation(df, date_col, date_range),
+            "geography": geo_validation(df, geo), "outliers": outliers, "score": score}

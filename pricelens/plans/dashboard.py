@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PanelRoles
-from ..functions import not_null_keys, round_he, safe_div
+from ..functions import avg_fixed, not_null_keys, round_he, safe_div
 from . import sqlgen as S
 
 DASH_KEYS = ["year", "month", "state", "region", "product", "brand"]
@@ -118,7 +118,7 @@ def dash_brand_avg(df: DataFrame, r: PanelRoles) -> DataFrame:
         F.avg(r.price).alias("price_mean"), F.count(r.price).alias("price_count"))
     bc = bc.withColumn("market_share", round_he(
         F.col("price_count") / F.sum("price_count").over(Window.partitionBy(r.product)) * 100.0, 2))
-    return bc.groupBy(r.brand).agg(F.avg("market_share").alias("market_share_mean"),
+    return bc.groupBy(r.brand).agg(avg_fixed("market_share", 2).alias("market_share_mean"),
                                    F.avg("price_mean").alias("price_mean"))
 
 
@@ -203,7 +203,7 @@ def oracle(r: PanelRoles, slice_params: dict) -> dict:
         "dash_brand_avg": ([f"""v1 AS (SELECT * REPLACE ({R('margin_pct', 2)} AS margin_pct) FROM silver)""",
                             """bc AS (SELECT brand_norm, product_norm, avg(price) AS price_mean, count(price) AS price_count
                                       FROM v1 WHERE brand_norm IS NOT NULL AND product_norm IS NOT NULL GROUP BY ALL)"""],
-                           f"""SELECT brand_norm, avg(market_share) AS market_share_mean, avg(price_mean) AS price_mean
+                           f"""SELECT brand_norm, sum(round_even(market_share * 100.0, 0)) / count(market_share) / 100.0 AS market_share_mean, avg(price_mean) AS price_mean
             FROM (SELECT *, {R('price_count / sum(price_count) OVER (PARTITION BY product_norm) * 100.0', 2)} AS market_share FROM bc)
             GROUP BY brand_norm"""),
         "slice_filter": ([D], f"""SELECT * FROM dash WHERE year IN ({', '.join(str(y) for y in yrs)})

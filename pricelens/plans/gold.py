@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PanelRoles
-from ..functions import (avg_rank, first_label_max, first_label_min, not_null_keys,
+from ..functions import (avg_fixed, avg_rank, first_label_max, first_label_min, not_null_keys,
                          pct_change, round_he, safe_corr, safe_div)
 from ..functions.quantiles import agg_with_quantiles
 from . import sqlgen as S
@@ -164,7 +164,7 @@ def ethanol_ratio_history(df: DataFrame, r: PanelRoles) -> DataFrame:
 def ethanol_viability_by_state(df: DataFrame, r: PanelRoles) -> DataFrame:
     h = ethanol_ratio_history(df, r)
     out = h.groupBy(r.state).agg(
-        round_he(F.avg("pair_ratio"), 3).alias("ratio_mean"),
+        round_he(avg_fixed("pair_ratio", 3), 3).alias("ratio_mean"),
         round_he(F.min("pair_ratio"), 3).alias("ratio_min"),
         round_he(F.max("pair_ratio"), 3).alias("ratio_max"),
         F.count_if(F.col("substitute_viable")).cast("long").alias("viable_sum"),
@@ -308,7 +308,7 @@ SELECT *, pair_ratio <= {r.pair_threshold!r} AS substitute_viable FROM (
     GROUP BY state, year, month))""",
         "ethanol_viability_by_state": f"""
 SELECT *, {R('viable_sum / NULLIF(viable_count, 0) * 100.0',1)} AS viable_pct FROM (
-  SELECT state, {R('avg(pair_ratio)',3)} AS ratio_mean, {R('min(pair_ratio)',3)} AS ratio_min,
+  SELECT state, {R('sum(round_even(pair_ratio * 1000.0, 0)) / count(pair_ratio) / 1000.0',3)} AS ratio_mean, {R('min(pair_ratio)',3)} AS ratio_min,
          {R('max(pair_ratio)',3)} AS ratio_max, count_if(substitute_viable) AS viable_sum,
          count(substitute_viable) AS viable_count
   FROM (SELECT *, pair_ratio <= {r.pair_threshold!r} AS substitute_viable FROM (

@@ -147,7 +147,7 @@ def product_volatility(df: DataFrame, r: PanelRoles) -> DataFrame:
     m = _agg(df, [r.product, r.year, r.month], {
         "m_mean": F.avg(r.price), "m_std": F.stddev_samp(r.price)})
     m = m.withColumn("cv", round_he(safe_div("m_std", "m_mean") * 100.0, 2))
-    return m.groupBy(r.product).agg(F.avg("cv").alias("cv_mean"), F.stddev_samp("cv").alias("cv_std"),
+    return m.groupBy(r.product).agg(avg_2dp("cv").alias("cv_mean"), F.stddev_samp("cv").alias("cv_std"),
                                     F.stddev_samp("m_mean").alias("monthly_mean_std"))
 
 
@@ -365,7 +365,7 @@ SELECT *, ratio_pct <= 70.0 AS substitute_economic FROM (
     FROM silver WHERE product_norm IN ({S.q(sub)}, {S.q(ref)}) AND {nn('year','month')}
     GROUP BY year, month))""",
         "product_volatility": f"""
-SELECT product_norm, avg(cv) AS cv_mean, stddev_samp(cv) AS cv_std, stddev_samp(m_mean) AS monthly_mean_std
+SELECT product_norm, sum(round_even(cv * 100.0, 0)) / count(cv) / 100.0 AS cv_mean, stddev_samp(cv) AS cv_std, stddev_samp(m_mean) AS monthly_mean_std
 FROM (SELECT product_norm, year, month, avg(price) AS m_mean,
              {R('stddev_samp(price) / NULLIF(avg(price), 0) * 100.0', 2)} AS cv
       FROM silver WHERE {nn('product_norm','year','month')} GROUP BY product_norm, year, month)

@@ -52,22 +52,41 @@ def run_bronze(spark: SparkSession, raw: DataFrame, roles: PanelRoles, out: str,
     """Validate -> technical columns -> partitioned write -> report."""
     t0 = time.time()
     try:
-        score = None
+        score, issues = None, []
         if rules is not None:
-            score = Q.overall_score(Q.quality_report(raw, rules, keys)).first()["overall_score"]
+            # Q8: the raw rule set; below the minimum score the issues are
+            # reported (the data is still ingested, as in the source design).
+            report = Q.quality_report(raw, rules, keys)
+            score = Q.overall_score(report).first()["overall_score"]
+            if score < C.MIN_QUALITY_SCORE:
+                issues = [r["issue"] for r in Q.quality_issues(report).collect()]
         b = add_technical_columns(raw, roles, load_ts=load_ts, source_file="raw", date_source=date_source)
         b = b.filter(F.col("ano").isNotNull())
         files.write_layer(b, out)
         written = files.read_layer(spark, out)
         n = written.count()
         parts = written.select("ano", "mes").distinct().count()
-        return _report("bronze", "completed", t0, records=n, partitions=parts, quality_score=score, path=out)
+        return _report("bronze", "completed", t0, records=n, partitions=parts, quality_score=score,
+                       quality_issues=issues, path=out)
     except Exception as e:  # noqa: BLE001 - the report carries the failure
         return _report("bronze", "failed", t0, error=str(e)[:500])
 
 
-def run_silver(spark: SparkSession, bronze_path: str, roles: PanelRoles, out: str) -> dict:
-    """R2: scan -> clean -> normalise -> enrich -> write (partitioned by ano, mes)."""
+def silver_rules(roles: PanelRoles, valid_products=None, valid_regions=None,
+                 price_range=(C.MIN_PRICE, C.MAX_PRICE)) -> dict:
+    """Q9: the Silver rule set (normalised product/region, price range, margin 0-100)."""
+    return {
+        "product_norm": {"values": list(valid_products or C.VALID_PRODUCTS)},
+        "region_norm": {"values": list(valid_regions or C.VALID_REGIONS)},
+        roles.price: {"min": price_range[0], "max": price_range[1]},
+        "margin_pct": {"min": 0.0, "max": 100.0},
+    }
+
+
+def run_silver(spark: SparkSession, bronze_path: str, roles: PanelRoles, out: str,
+               rules: dict | None = None) -> dict:
+    """R2: scan -> clean -> normalise -> enrich -> write (partitioned by ano, mes)
+    -> Q9 quality score of what was written."""
     t0 = time.time()
     try:
         b = files.read_layer(spark, bronze_path)
@@ -75,8 +94,13 @@ def run_silver(spark: SparkSession, bronze_path: str, roles: PanelRoles, out: st
         s = s.withColumns({"ano": F.col(roles.year), "mes": F.col(roles.month)}) \
             if roles.year != "ano" else s
         files.write_layer(s, out)
-        n = files.read_layer(spark, out).count()
-        return _report("silver", "completed", t0, records=n, path=out)
+        written = files.read_layer(spark, out)
+        n = written.count()
+        rep = Q.quality_report(written, rules or silver_rules(roles),
+                               [roles.tax_id if roles.tax_id in written.columns else roles.station,
+                                "data_coleta_parsed", "product_norm"])
+        score = Q.overall_score(rep).first()["overall_score"]
+        return _report("silver", "completed", t0, records=n, quality_score=score, path=out)
     except Exception as e:  # noqa: BLE001
         return _report("silver", "failed", t0, error=str(e)[:500])
 

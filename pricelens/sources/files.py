@@ -113,6 +113,12 @@ def write_gold(datasets: dict, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "category string, dataset string, path string, records long")
 
 
+def read_gold(spark: SparkSession, root: str, name: str, category: str | None = None) -> DataFrame:
+    """A Gold dataset by name (``root/<category>/<name>``; any category when omitted)."""
+    path = f"{root.rstrip('/')}/{category}/{name}" if category else f"{root.rstrip('/')}/*/{name}"
+    return spark.read.parquet(path)
+
+
 def write_run_log(spark: SparkSession, summary: dict, path: str) -> DataFrame:
     """One JSON line per run (append)."""
     df = spark.createDataFrame([(json.dumps(summary, default=str), time.strftime("%Y-%m-%dT%H:%M:%S"))],
