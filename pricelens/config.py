@@ -229,7 +229,8 @@ FUEL = PanelRoles(
     region="Regiao", state="Estado", city="Municipio", station="Revenda",
     tax_id="CNPJ", date="data_coleta_parsed", year="ano", month="mes",
     category="categoria_produto",
-    key=("CNPJ", "Data_Coleta", "Produto"), tiebreak=("bronze_record_id",),
+    key=("CNPJ", "Data_Coleta", "Produto"),
+    tiebreak=tuple(c for c in FUEL_RAW_COLUMNS if c not in ("CNPJ", "Data_Coleta", "Produto")),
     pair=("ETANOL", "GASOLINA COMUM"), variant_token="DIESEL",
     majors_silver=tuple(FUEL_MAJOR_BRANDS_SILVER),
     majors_gold=tuple(FUEL_MAJOR_BRANDS_GOLD),
@@ -242,5 +243,4 @@ FUEL = PanelRoles(
 def silver_roles(roles: PanelRoles) -> PanelRoles:
     """Roles of a Silver frame: Gold groups on the normalised columns."""
     return roles.with_(product="product_norm", region="region_norm",
-                       brand="brand_norm", year="year", month="month",
-                       category="product_category")
+                       brand="brand_norm", category="product_category")
