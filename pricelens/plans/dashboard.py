@@ -175,10 +175,10 @@ def oracle(r: PanelRoles, slice_params: dict) -> dict:
             WHERE product IN {S.in_list(r.main_products)} GROUP BY region, product"""),
         "viability_by_state_month": ([D, V], "SELECT * FROM viab"),
         "dash_viability_summary": ([D, V], f"""SELECT *, {R('viable_cases / NULLIF(total_cases, 0) * 100.0', 1)} AS viable_pct
-            FROM (SELECT state, count_if(substitute_viable) AS viable_cases, count(*) AS total_cases,
+            FROM (SELECT state, CAST(count_if(substitute_viable) AS BIGINT) AS viable_cases, count(*) AS total_cases,
                          {R('avg(pair_ratio)', 3)} AS ratio_mean FROM viab GROUP BY state)"""),
         "dash_market_share": ([D], f"""SELECT * FROM (
-            SELECT brand, product, sum(n_stations) AS n_stations,
+            SELECT brand, product, CAST(sum(n_stations) AS BIGINT) AS n_stations,
                    {R('sum(n_stations) / sum(sum(n_stations)) OVER (PARTITION BY product) * 100.0', 1)} AS market_share_pct
             FROM dash GROUP BY brand, product) WHERE product = {S.q(ref)}"""),
         "dash_seasonal": ([D], f"""SELECT month, product, avg(price_mean) AS price_mean FROM dash
@@ -187,8 +187,8 @@ def oracle(r: PanelRoles, slice_params: dict) -> dict:
               substitute_price / NULLIF(reference_price, 0) <= {r.pair_threshold!r} AS substitute_viable
             FROM (SELECT avg(CASE WHEN product = {S.q(ref)} THEN price_mean END) AS reference_price,
                          avg(CASE WHEN product = {S.q(sub)} THEN price_mean END) AS substitute_price,
-                         sum(n_stations) AS total_stations FROM dash)"""),
-        "dash_regional_rank": ([D], f"""SELECT *, row_number() OVER (PARTITION BY product ORDER BY price_mean, region) AS position
+                         CAST(sum(n_stations) AS BIGINT) AS total_stations FROM dash)"""),
+        "dash_regional_rank": ([D], f"""SELECT *, CAST(row_number() OVER (PARTITION BY product ORDER BY price_mean, region) AS INTEGER) AS position
             FROM (SELECT region, product, avg(price_mean) AS price_mean FROM dash WHERE product = {S.q(ref)}
                   GROUP BY region, product)"""),
         "dash_overall_viability": ([D, V], "SELECT avg(CAST(substitute_viable AS DOUBLE)) * 100.0 AS overall_viability_pct FROM viab"),
@@ -198,7 +198,7 @@ def oracle(r: PanelRoles, slice_params: dict) -> dict:
               WHEN price_mean > quantile_cont(price_mean, 0.67) OVER (PARTITION BY product) THEN 'Premium'
               WHEN price_mean < quantile_cont(price_mean, 0.33) OVER (PARTITION BY product) THEN 'Econômico'
               ELSE 'Médio' END AS price_strategy
-            FROM (SELECT brand, product, avg(price_mean) AS price_mean, sum(n_stations) AS n_stations
+            FROM (SELECT brand, product, avg(price_mean) AS price_mean, CAST(sum(n_stations) AS BIGINT) AS n_stations
                   FROM dash GROUP BY brand, product) WHERE product = {S.q(ref)}"""),
         "dash_brand_avg": ([f"""v1 AS (SELECT * REPLACE ({R('margin_pct', 2)} AS margin_pct) FROM silver)""",
                             """bc AS (SELECT brand_norm, product_norm, avg(price) AS price_mean, count(price) AS price_count

@@ -309,7 +309,7 @@ SELECT *, pair_ratio <= {r.pair_threshold!r} AS substitute_viable FROM (
         "ethanol_viability_by_state": f"""
 SELECT *, {R('viable_sum / NULLIF(viable_count, 0) * 100.0',1)} AS viable_pct FROM (
   SELECT state, {R('sum(round_even(pair_ratio * 1000.0, 0)) / count(pair_ratio) / 1000.0',3)} AS ratio_mean, {R('min(pair_ratio)',3)} AS ratio_min,
-         {R('max(pair_ratio)',3)} AS ratio_max, count_if(substitute_viable) AS viable_sum,
+         {R('max(pair_ratio)',3)} AS ratio_max, CAST(count_if(substitute_viable) AS BIGINT) AS viable_sum,
          count(substitute_viable) AS viable_count
   FROM (SELECT *, pair_ratio <= {r.pair_threshold!r} AS substitute_viable FROM (
           SELECT *, {R('substitute_price / NULLIF(reference_price, 0)',3)} AS pair_ratio FROM (

@@ -324,7 +324,7 @@ FROM (SELECT year, product_norm, avg(price) AS price_mean, stddev_samp(price) AS
              (sum(round_even(margin_pct * 100.0, 0)) / count(margin_pct) / 100.0) AS margin_mean, count(DISTINCT city) AS n_cities, count(DISTINCT station) AS n_stations
       FROM {v1} s WHERE {nn('year','product_norm')} GROUP BY year, product_norm)""",
         "regional_dense_ranking": f"""
-SELECT *, dense_rank() OVER (PARTITION BY product_norm ORDER BY price_mean DESC) AS price_rank
+SELECT *, CAST(dense_rank() OVER (PARTITION BY product_norm ORDER BY price_mean DESC) AS INTEGER) AS price_rank
 FROM (SELECT region_norm, product_norm, avg(price) AS price_mean, quantile_cont(price, 0.5) AS price_median,
              stddev_samp(price) AS price_std, count(DISTINCT city) AS n_cities, count(DISTINCT station) AS n_stations
       FROM silver WHERE {nn('region_norm','product_norm')} GROUP BY region_norm, product_norm)""",
@@ -342,7 +342,7 @@ SELECT region_norm, product_norm, min(price) AS price_min, max(price) AS price_m
 FROM silver WHERE {nn('region_norm','product_norm')} GROUP BY region_norm, product_norm""",
         "brand_competition": f"""
 SELECT *, {R('price_count / sum(price_count) OVER (PARTITION BY product_norm) * 100.0', 2)} AS market_share,
-       dense_rank() OVER (PARTITION BY product_norm ORDER BY price_mean ASC) AS price_rank
+       CAST(dense_rank() OVER (PARTITION BY product_norm ORDER BY price_mean ASC) AS INTEGER) AS price_rank
 FROM (SELECT brand_norm, product_norm, avg(price) AS price_mean, quantile_cont(price, 0.5) AS price_median,
              count(price) AS price_count, (sum(round_even(margin_pct * 100.0, 0)) / count(margin_pct) / 100.0) AS margin_mean, stddev_samp(margin_pct) AS margin_std,
              count(DISTINCT state) AS n_states

@@ -175,7 +175,7 @@ def oracle() -> dict:
     prices = f"""pv AS (
       SELECT 'valor_venda' AS measure, CAST(count_if(valor_venda IS NULL OR valor_venda < {lo!r} OR valor_venda > {hi!r}) AS BIGINT) AS invalid_count,
              count_if(valor_venda IS NULL OR valor_venda < {lo!r} OR valor_venda > {hi!r}) / count(*) AS invalid_rate,
-             {lo!r} AS min_valid, {hi!r} AS max_valid, min(valor_venda) AS actual_min, max(valor_venda) AS actual_max FROM std
+             CAST({lo!r} AS DOUBLE) AS min_valid, CAST({hi!r} AS DOUBLE) AS max_valid, min(valor_venda) AS actual_min, max(valor_venda) AS actual_max FROM std
       UNION ALL
       SELECT 'valor_compra', CAST(count_if(valor_compra IS NULL OR valor_compra < {lo!r} OR valor_compra > {hi!r}) AS BIGINT),
              count_if(valor_compra IS NULL OR valor_compra < {lo!r} OR valor_compra > {hi!r}) / count(*),

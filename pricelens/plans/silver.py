@@ -55,10 +55,10 @@ def silver_sql_ctes(roles: PanelRoles = STAR) -> list[str]:
               regexp_replace(station_code, '[^0-9]', '', 'g') AS tax_id_clean
             FROM d1)""",
         f"""enr AS (SELECT *,
-              year(obs_date) AS year, month(obs_date) AS month, quarter(obs_date) AS quarter,
+              CAST(year(obs_date) AS INTEGER) AS year, CAST(month(obs_date) AS INTEGER) AS month, CAST(quarter(obs_date) AS INTEGER) AS quarter,
               CASE WHEN month(obs_date) <= 6 THEN 1 ELSE 2 END AS semester,
-              isodow(obs_date) - 1 AS weekday, monthname(obs_date) AS month_name,
-              dayname(obs_date) AS day_name, day(obs_date) AS day_of_month,
+              CAST(isodow(obs_date) - 1 AS INTEGER) AS weekday, monthname(obs_date) AS month_name,
+              dayname(obs_date) AS day_name, CAST(day(obs_date) AS INTEGER) AS day_of_month,
               price - cost AS margin_abs,
               (price - cost) / NULLIF(cost, 0) * 100.0 AS margin_pct,
               {S.cascade('product_norm', roles.category_rules, C.CATEGORY_DEFAULT)} AS product_category,

@@ -302,10 +302,10 @@ def oracle() -> dict:
         "brand_size": _panel_sql(f"""SELECT {KEYS}, brand_norm,
               CASE WHEN brand_norm IN {S.in_list(R.majors_silver)} THEN 'GRANDE' ELSE 'REGIONAL' END AS brand_size
             FROM (SELECT *, {brand_norm} AS brand_norm FROM panel)"""),
-        "temporal_dimensions": _panel_sql(f"""SELECT {KEYS}, obs_date, year(obs_date) AS year, month(obs_date) AS month,
-              quarter(obs_date) AS quarter, CASE WHEN month(obs_date) <= 6 THEN 1 ELSE 2 END AS semester,
-              isodow(obs_date) - 1 AS weekday, monthname(obs_date) AS month_name, dayname(obs_date) AS day_name,
-              day(obs_date) AS day_of_month FROM panel"""),
+        "temporal_dimensions": _panel_sql(f"""SELECT {KEYS}, obs_date, CAST(year(obs_date) AS INTEGER) AS year,
+              CAST(month(obs_date) AS INTEGER) AS month, CAST(quarter(obs_date) AS INTEGER) AS quarter, CASE WHEN month(obs_date) <= 6 THEN 1 ELSE 2 END AS semester,
+              CAST(isodow(obs_date) - 1 AS INTEGER) AS weekday, monthname(obs_date) AS month_name,
+              dayname(obs_date) AS day_name, CAST(day(obs_date) AS INTEGER) AS day_of_month FROM panel"""),
         "margin_metrics": _panel_sql(f"""SELECT {KEYS}, price, cost, price - cost AS margin_abs,
               (price - cost) / NULLIF(cost, 0) * 100.0 AS margin_pct FROM panel"""),
         "price_band": _panel_sql(f"SELECT {KEYS}, price, {S.band_case('price', R.band_edges, C.BAND_LABELS)} AS price_band FROM panel"),
