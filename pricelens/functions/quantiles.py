@@ -130,14 +130,20 @@ def has_hot_groups(df: DataFrame, keys, columns, limit: int | None = None) -> bo
 
 
 def agg_with_quantiles(df: DataFrame, keys, aggs: list, specs: dict,
-                       strategy: str | None = None) -> DataFrame:
+                       strategy: str | None = None, distinct_aggs: list | None = None) -> DataFrame:
     """groupBy(keys).agg(aggs) plus exact quantiles ``specs``.
 
     Without hot groups everything is one aggregation; otherwise the quantiles
     come from ``exact_quantiles`` (hot groups on the range-partitioned path)
     and are joined to the grouped statistics on the group key.
+    ``distinct_aggs`` (count_distinct ...) run as their own aggregate, joined
+    on the key: Spark's distinct rewrite expands rows, which is cheap alone but
+    costly next to quantile buffers.
     """
     keys = list(keys)
+    if distinct_aggs:
+        base = agg_with_quantiles(df, keys, aggs, specs, strategy)
+        return base.join(df.groupBy(*keys).agg(*distinct_aggs), keys, "left")
     if not specs:
         return df.groupBy(*keys).agg(*aggs)
     strategy = strategy or DEFAULT_STRATEGY

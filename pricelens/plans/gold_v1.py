@@ -26,10 +26,15 @@ def avg_2dp(c: str):
     return F.sum(F.rint(F.col(c) * 100.0)) / F.count(c) / 100.0
 
 
-def _agg(df, keys, aggs: dict, medians: dict | None = None):
+def _agg(df, keys, aggs: dict, medians: dict | None = None, distinct: dict | None = None):
+    """Grouped statistics, exact medians and distinct counts over non-null keys."""
     df = not_null_keys(df, keys)
-    return agg_with_quantiles(df, keys, [c.alias(n) for n, c in aggs.items()],
-                              {n: (c, 0.5) for n, c in (medians or {}).items()})
+    plain = [c.alias(n) for n, c in aggs.items()]
+    dist = [c.alias(n) for n, c in (distinct or {}).items()]
+    if not medians:
+        return df.groupBy(*keys).agg(*plain, *dist)
+    return agg_with_quantiles(df, keys, plain, {n: (c, 0.5) for n, c in medians.items()},
+                              distinct_aggs=dist or None)
 
 
 # N0 -------------------------------------------------------------------------
@@ -40,8 +45,8 @@ def price_summary_cube(df: DataFrame, r: PanelRoles) -> DataFrame:
         "price_mean": F.avg(r.price), "price_min": F.min(r.price), "price_max": F.max(r.price),
         "price_std": F.stddev_samp(r.price), "n_obs": F.count(r.price),
         "cost_mean": F.avg(r.cost), "margin_mean": avg_2dp("margin_pct"),
-        "n_cities": F.count_distinct(r.city), "n_stations": F.count_distinct(r.station),
-    }, {"price_median": r.price, "cost_median": r.cost, "margin_median": "margin_pct"})
+    }, {"price_median": r.price, "cost_median": r.cost, "margin_median": "margin_pct"},
+        {"n_cities": F.count_distinct(r.city), "n_stations": F.count_distinct(r.station)})
 
 
 # N1 -------------------------------------------------------------------------
@@ -78,9 +83,9 @@ def annual_growth_presence(df: DataFrame, r: PanelRoles) -> DataFrame:
 # N4 -------------------------------------------------------------------------
 def regional_dense_ranking(df: DataFrame, r: PanelRoles) -> DataFrame:
     out = _agg(df, [r.region, r.product], {
-        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price),
-        "n_cities": F.count_distinct(r.city), "n_stations": F.count_distinct(r.station)},
-        {"price_median": r.price})
+        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price)},
+        {"price_median": r.price},
+        {"n_cities": F.count_distinct(r.city), "n_stations": F.count_distinct(r.station)})
     w = Window.partitionBy(r.product).orderBy(F.col("price_mean").desc())
     return out.withColumn("price_rank", F.dense_rank().over(w))
 
@@ -110,8 +115,8 @@ def brand_competition(df: DataFrame, r: PanelRoles) -> DataFrame:
     df = v1_margin(df)
     out = _agg(df, [r.brand, r.product], {
         "price_mean": F.avg(r.price), "price_count": F.count(r.price),
-        "margin_mean": avg_2dp("margin_pct"), "margin_std": F.stddev_samp("margin_pct"),
-        "n_states": F.count_distinct(r.state)}, {"price_median": r.price})
+        "margin_mean": avg_2dp("margin_pct"), "margin_std": F.stddev_samp("margin_pct")},
+        {"price_median": r.price}, {"n_states": F.count_distinct(r.state)})
     tot = F.sum("price_count").over(Window.partitionBy(r.product))
     w = Window.partitionBy(r.product).orderBy(F.col("price_mean").asc())
     return (out.withColumn("market_share", round_he(F.col("price_count") / tot * 100.0, 2))
