@@ -18,10 +18,6 @@ from ..functions.quantiles import agg_with_quantiles
 from . import sqlgen as S
 
 
-def _r3(cols: dict) -> list:
-    return [round_he(c, 3).alias(n) for n, c in cols.items()]
-
-
 def _grouped(df, keys, aggs: dict, medians: dict | None = None):
     """groupBy(keys) with rounded aggregates (+ exact medians, also rounded)."""
     df = not_null_keys(df, keys)
