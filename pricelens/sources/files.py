@@ -99,7 +99,12 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 def write_gold(datasets: dict, root: str) -> DataFrame:
     """``{name: (category, df)}`` -> ``root/category/name``; empty ones skipped.
-    Returns one row per dataset with its written row count."""
+    Returns one row per dataset with its written row count.
+
+    ``isEmpty`` and the write run on the same Dataset object, so the write
+    reuses the shuffle outputs the check materialised (those stages are
+    skipped); caching measured slower.
+    """
     rows = []
     spark = None
     for name, (category, df) in datasets.items():
