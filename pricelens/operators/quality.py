@@ -229,14 +229,16 @@ def date_validation(df: DataFrame, date_col: str, date_range) -> DataFrame:
 
 
 def geo_validation(df: DataFrame, checks: dict) -> DataFrame:
-    """Q14: per level, values outside the valid set (null counts as invalid)
-    and the sorted distinct values seen."""
+    """Q14: per level, every distinct value seen with its row count and
+    whether it is in the valid set (null is invalid). A grouped count, so
+    any number of distinct (dirty) values stays distributed; the invalid
+    count of a level is the sum of ``n_rows`` where ``is_valid`` is false."""
     parts = []
     for level, (c, valid) in checks.items():
         x = qc(c)
-        parts.append(df.agg(F.lit(level).alias("level"),
-                            F.count_if(~F.coalesce(x.isin(*valid), F.lit(False))).cast("long").alias("invalid_count"),
-                            F.concat_ws(",", F.array_sort(F.collect_set(x))).alias("actual_values")))
+        parts.append(df.groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+                       .select(F.lit(level).alias("level"), F.col("value").cast("string").alias("value"),
+                               "n_rows", F.coalesce(F.col("value").isin(*valid), F.lit(False)).alias("is_valid")))
     return reduce(DataFrame.unionByName, parts)
 
 

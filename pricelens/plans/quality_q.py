@@ -210,8 +210,9 @@ def oracle() -> dict:
         return S.with_ctes(PANEL_SQL, RAW_V1_SQL, std, *ctes, body=body)
 
     dlo, dhi = STAR_DATE_RANGE
-    geo = lambda lvl, c, vals: (f"""SELECT '{lvl}' AS level, CAST(count_if(NOT COALESCE({c} IN {S.in_list(vals)}, false)) AS BIGINT) AS invalid_count,
-        array_to_string(list_sort(list(DISTINCT {c}) FILTER (WHERE {c} IS NOT NULL)), ',') AS actual_values FROM std""")
+    def geo(lvl, c, vals):
+        return (f"""SELECT '{lvl}' AS level, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows,
+            COALESCE({c} IN {S.in_list(vals)}, false) AS is_valid FROM std GROUP BY {c}""")
     return {
         "quality_completeness": P(comp_sql()),
         "quality_validity": P(val_sql()),
