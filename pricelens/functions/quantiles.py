@@ -11,6 +11,9 @@ needed for each quantile are then picked with an equi-join on (group, rank).
 ``strategy="hash"`` uses the built-in ``percentile`` aggregate instead, which
 is fine when groups are known to be small.
 
+``strategy="approx"`` is the opt-in sketch (``percentile_approx``, bounded
+memory per group, approximate result); registered queries never use it.
+
 ``strategy="auto"`` (default) splits by measured group size: groups with at
 most ``max_group`` values use the built-in exact ``percentile`` (its buffer is
 then bounded by ``max_group``), and only larger, hot groups take the
@@ -37,8 +40,8 @@ def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = Non
     """
     keys = list(keys)
     strategy = strategy or DEFAULT_STRATEGY
-    if strategy == "hash":
-        aggs = [F.percentile(F.col(c), p).alias(name) for name, (c, p) in specs.items()]
+    if strategy in ("hash", "approx"):
+        aggs = [_pct(c, p, strategy).alias(name) for name, (c, p) in specs.items()]
         return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
     measures = sorted({c for c, _ in specs.values()})
@@ -117,6 +120,20 @@ def _sorted_quantiles(stacked: DataFrame, keys, gk, specs: dict, names) -> DataF
     return q.groupBy().pivot("_out", names).agg(F.first("_q"))
 
 
+APPROX_ACCURACY = 10000
+
+
+def _pct(c: str, p: float, strategy: str):
+    if strategy == "approx":
+        return F.percentile_approx(F.col(c).cast("double"), p, APPROX_ACCURACY)
+    return F.percentile(F.col(c), p)
+
+
+def distinct_count(c: str, approx: bool = False, rsd: float = 0.02):
+    """Exact ``count_distinct`` (default) or the opt-in HyperLogLog++ sketch."""
+    return F.approx_count_distinct(F.col(c), rsd) if approx else F.count_distinct(F.col(c))
+
+
 def has_hot_groups(df: DataFrame, keys, columns, limit: int | None = None) -> bool:
     """True when some group holds more than ``limit`` non-null values of a column
     (one grouped count, partial aggregation map-side; a boolean reaches the driver)."""
@@ -148,8 +165,8 @@ def agg_with_quantiles(df: DataFrame, keys, aggs: list, specs: dict,
         return df.groupBy(*keys).agg(*aggs)
     strategy = strategy or DEFAULT_STRATEGY
     cols = sorted({c for c, _ in specs.values()})
-    if strategy == "hash" or (strategy == "auto" and not has_hot_groups(df, keys, cols)):
-        q = [F.percentile(F.col(c), p).alias(n) for n, (c, p) in specs.items()]
+    if strategy in ("hash", "approx") or (strategy == "auto" and not has_hot_groups(df, keys, cols)):
+        q = [_pct(c, p, strategy).alias(n) for n, (c, p) in specs.items()]
         return df.groupBy(*keys).agg(*aggs, *q)
     return with_quantiles(df.groupBy(*keys).agg(*aggs), df, keys, specs, strategy)
 

@@ -144,3 +144,14 @@ def test_rerun_leaves_counts_unchanged(spark, tmp_path_factory):
     assert files.read_layer(spark, path).count() == 3
     files.write_layer(df.filter("mes = 2"), path)   # dynamic overwrite: only that partition
     assert files.read_layer(spark, path).count() == 3
+
+
+def test_approx_opt_in_close_to_exact(spark):
+    from pricelens.functions.quantiles import distinct_count
+    rng = np.random.default_rng(5)
+    vals = rng.normal(100, 15, 20000)
+    df = spark.createDataFrame([("g", float(v), int(i % 5000)) for i, v in enumerate(vals)], "g string, v double, k int")
+    q = exact_quantiles(df, ["g"], {"med": ("v", 0.5)}, strategy="approx").first()
+    assert abs(q.med - float(np.median(vals))) < 0.5
+    assert abs(df.agg(distinct_count("k", approx=True)).first()[0] - 5000) < 250
+    assert df.agg(distinct_count("k")).first()[0] == 5000
