@@ -82,7 +82,9 @@ def _hashed_quantiles(stacked: DataFrame, keys, specs: dict, measures) -> DataFr
 
 
 def _sorted_quantiles(stacked: DataFrame, keys, gk, specs: dict, names) -> DataFrame:
-
+    """Range-partitioned exact quantiles: rank = rows of the group in earlier
+    partitions + position inside this partition (rows are sorted by group and
+    value within each partition, so ids increase in value order)."""
     srt = (stacked.repartitionByRange(*gk, "_v").sortWithinPartitions(*gk, "_v")
                   .withColumn("_pid", F.spark_partition_id())
                   .withColumn("_pos", F.monotonically_increasing_id()))
