@@ -155,3 +155,18 @@ def test_approx_opt_in_close_to_exact(spark):
     assert abs(q.med - float(np.median(vals))) < 0.5
     assert abs(df.agg(distinct_count("k", approx=True)).first()[0] - 5000) < 250
     assert df.agg(distinct_count("k")).first()[0] == 5000
+
+
+def test_auto_quantiles_split_hot_and_cold_groups(spark):
+    rng = np.random.default_rng(9)
+    hot, cold = rng.lognormal(2, 1, 2500), rng.normal(5, 1, 60)
+    rows = [("hot", float(v), float(v) * 2) for v in hot] + [("cold", float(v), float(v) * 2) for v in cold]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(5)
+    specs = {"med": ("v", 0.5), "q25": ("v", 0.25), "wmed": ("w", 0.5)}
+    got = {r.g: r for r in exact_quantiles(df, ["g"], specs, strategy="auto", max_group=100).collect()}
+    for g, arr in [("hot", hot), ("cold", cold)]:
+        assert got[g].med == pytest.approx(float(np.quantile(arr, 0.5)), rel=1e-12)
+        assert got[g].q25 == pytest.approx(float(np.quantile(arr, 0.25)), rel=1e-12)
+        assert got[g].wmed == pytest.approx(float(np.quantile(arr * 2, 0.5)), rel=1e-12)
+    whole = exact_quantiles(df, [], {"med": ("v", 0.5)}, strategy="auto", max_group=100).first()
+    assert whole.med == pytest.approx(float(np.quantile(np.concatenate([hot, cold]), 0.5)), rel=1e-12)
