@@ -47,9 +47,12 @@ def q_csv_sink(spark, d):
 
 
 def q_csv_header_check(spark, d):
-    res = files.csv_header_check(spark, _csv(spark, d), C.FUEL_RAW_COLUMNS)
-    return spark.createDataFrame([(res["valid"], ",".join(res["missing_columns"]), len(res["columns"]))],
-                                 "valid boolean, missing_columns string, n_columns int")
+    path = _csv(spark, d)
+    res = files.csv_header_check(spark, path, C.FUEL_RAW_COLUMNS)
+    # The header verdict, next to the row count of the file it describes.
+    return files.read_csv(spark, path, RAW_V2_SCHEMA).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(res["valid"]).alias("valid"), F.lit(",".join(res["missing_columns"])).alias("missing_columns"),
+        F.lit(len(res["columns"])).alias("n_columns"), "n_rows")
 
 
 def q_file_profile(spark, d):
