@@ -74,19 +74,20 @@ def file_profile(df: DataFrame, price: str, cost: str | None = None, hi: float =
 
 
 # --- Parquet layers ------------------------------------------------------------
-def write_layer(df: DataFrame, path: str, partition_cols=C.PARTITION_COLUMNS, files_per_partition: int = 4,
+def write_layer(df: DataFrame, path: str, partition_cols=C.PARTITION_COLUMNS,
                 mode: str = "overwrite") -> str:
     """Partitioned Parquet; refuses when a partition column is missing.
 
-    Rows are spread by (partition columns, a hash salt) so one hot month is
-    written by several tasks instead of one, while small months still get few
-    files. Dynamic overwrite replaces only the partitions present.
+    The ``rebalance`` hint clusters rows by the partition columns and lets AQE
+    size the writer tasks to ``advisoryPartitionSizeInBytes``: a month holding
+    a third of the data is split over many tasks, small months are coalesced,
+    so file sizes stay bounded whatever the volume. Dynamic overwrite replaces
+    only the partitions present.
     """
     missing = [c for c in partition_cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing partition columns: {missing}")
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-    (df.withColumn("_salt", salt).repartition(*partition_cols, "_salt").drop("_salt")
+    (df.hint("rebalance", *partition_cols)
        .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
        .partitionBy(*partition_cols).parquet(path))
     return path
