@@ -35,3 +35,13 @@ def test_partition_filter_pushed(spark):
     files.write_layer(df, path)
     p = plan(files.read_layer(spark, path).filter("ano = 2021"))
     assert "PartitionFilters: [isnotnull(ano" in p and "= 2021" in p
+
+
+def test_limits_only_where_they_are_the_feature():
+    """Registered queries run over whole tables: a LIMIT appears only in the
+    top-k report, the latest-years slice and the arg-max state."""
+    import re
+    allowed = {"top_k_ranking", "latest_years_slice", "best_viability_state"}
+    for name, sql in E.oracle_sql().items():
+        if re.search(r"\bLIMIT\b", sql, re.I):
+            assert name in allowed, name
