@@ -42,12 +42,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the submitter sets it to shared storage; we only pick a
-    default when it is unset (local tests).
+    On a cluster the submitter sets it to shared storage; leaving it unset there
+    is an error, because a machine-local folder is lost with its machine. A
+    local session, where driver and executors are one process, gets a default.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = os.path.join("/tmp", "pricelens-checkpoints")
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = "/tmp/checkpoints/pricelens"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

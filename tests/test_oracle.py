@@ -10,11 +10,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from pricelens.plans.registry import registry
 
 SF = os.environ.get("PRICELENS_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-SQL = E.oracle_sql()
-NAMES = sorted(E.queries())
+REGISTRY = registry()
+SQL = {name: sql for name, (_fn, sql) in REGISTRY.items() if sql is not None}
+NAMES = sorted(REGISTRY)
 
 
 def _v(v):
@@ -60,7 +62,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
+    got = REGISTRY[name][0](spark, SF).toPandas()
     if name not in SQL:
         assert len(got) >= 0
         return
