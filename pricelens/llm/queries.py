@@ -8,10 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, perspectives
+from . import bottomk, bpe, perspectives, simhash
 from .common import read
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.assign(read(spark, sf_dir, "documents"))
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), bpe.default_path())
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.compare_with_edits(read(spark, sf_dir, "documents"))
 
@@ -25,7 +33,7 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_document_fingerprints, op10_chat_perspectives)
+    f.__name__: f for f in (op4_simhash_near_dedup, op5_bpe_round_trip, op9_document_fingerprints, op10_chat_perspectives)
 }
 
 #: op10 in DuckDB: the same rendering by string aggregation over (conversation, speaker, part).
