@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe, mixing, perspectives, simhash
+from . import bottomk, bpe, mixing, perspectives, simhash, warc
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.assign(read(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_entropy_mix, op4_simhash_near_dedup, op5_bpe_round_trip, op9_document_fingerprints, op10_chat_perspectives)
+    f.__name__: f for f in (op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op9_document_fingerprints, op10_chat_perspectives)
 }
 
 #: op10 in DuckDB: the same rendering by string aggregation over (conversation, speaker, part).
