@@ -30,14 +30,18 @@ TOLERANCE, ROUNDS = 1e-6, 80
 _DIGITS, _BITS = 3, 12  # of the rounding bound
 
 
-def n_words(text: Column) -> Column:
+def n_words() -> Column:
+    """Number of words of the column ``__text``."""
     bare = F.expr("trim(BOTH ' \\t\\n\\u000b\\f\\r' FROM __text)")
     return F.when(F.length(bare) > 0, F.size(F.split(bare, SPACE))).otherwise(0).cast("long")
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("__text", text).withColumn("__size", n_words(F.col("__text"))).drop("__text")
+    """Rows as a struct ``row`` beside what the mix needs of them."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"),
+                       F.col("source").cast("string").alias("source"), text.alias("__text"))
+    return rows.select("row", "doc_id", "source", F.xxhash64("__text").alias("text"), n_words().alias("__size"))
 
 
 def _same(a: str, b: str) -> Column:
@@ -162,32 +166,30 @@ def bounds(lots: DataFrame, state: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
         seed: int = 7) -> DataFrame:
-    """``docs`` (with doc_id, text, source and any other columns) and __size, source_size,
-    target, __copies. Only the table of sources meets the texts, in a join that Spark
-    broadcasts if the table's measured size allows it."""
-    named = docs.withColumn("source", F.col("source").cast("string"))
-    sized = stored(_sized(named).select("doc_id", "source", F.xxhash64("text").alias("text"), "__size"), "sizes")
+    """``row``, a struct of all columns of ``docs`` (doc_id, text, source and any others), with
+    size, source_size, target, rate and copies. Only the table of sources meets the texts,
+    in a join that Spark broadcasts if the table's measured size allows it."""
+    sized = stored(_sized(docs.select("doc_id", "source", "text")).drop("row"), "sizes")
     sizes = stored(sized.groupBy("source", "__size").agg(F.count("*").alias("n")), "size_counts")
     totals = sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("__size")).alias("source_size"))
     state = stored(solve(sizes, targets(totals, weights, share, cap), cap), "rates")
     lots = stored(_lots(sized, state, cap, seed).select("source", "__size", "__sure", "__lot"), "lots")
     state = stored(bounds(lots, state), "mix")
-    full = _lots(_sized(named).withColumn("__raw", F.col("text")).withColumn("text", F.xxhash64("text")),
-                 state, cap, seed)
     more = (F.col("__lot") >= F.col("bound")).cast("long")
     copies = F.when(F.col("__size") == 0, F.lit(1).cast("long")).otherwise(F.col("__sure") + more)
-    return full.withColumn("__copies", copies).withColumn("text", F.col("__raw"))
+    return _lots(_sized(docs), state, cap, seed).select(
+        "row", F.col("__size").alias("size"), "source_size", "target", F.col("__rate").alias("rate"),
+        copies.alias("copies"))
 
 
 def apply(docs: DataFrame, **how) -> DataFrame:
     """The mixed corpus: every document as often as the mix takes it, columns as before."""
-    out = mix(docs, **how)
-    return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    return (mix(docs, **how).select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+            .select("row.*"))
 
 
 def report(docs: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target and the words taken, per document."""
     out = mix(docs.select("doc_id", "text", "source"), **how)
-    return out.select("doc_id", F.col("__size").alias("size"), "source_size", "target",
-                      (F.col("__copies") * F.col("__size")).alias("taken"), "source",
-                      F.col("__copies").alias("copies"), F.col("__rate").alias("rate"))
+    return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
+                      "row.source", "copies", "rate")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe, langid, mixing, perspectives, simhash, warc
+from . import bottomk, bpe, langid, linededup, mixing, perspectives, simhash, warc
 from .common import read
 
 
@@ -28,6 +28,12 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), bpe.default_path())
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.deduplicate(docs).select(
+        "row.doc_id", "n_lines", "n_equal", "n_near", "row.text")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labelled = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
@@ -47,7 +53,7 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op8_language_id,
+    f.__name__: f for f in (op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op7_line_dedup, op8_language_id,
                               op9_document_fingerprints, op10_chat_perspectives)
 }
 
