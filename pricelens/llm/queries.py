@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe, langid, linededup, mixing, perspectives, simhash, warc
+from . import bottomk, bpe, hosttrust, langid, linededup, mixing, perspectives, simhash, warc
 from .common import read
 
 
+def op1_url_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosttrust.judge(read(spark, sf_dir, "pages"))
+
+
 def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op7_line_dedup, op8_language_id,
+    f.__name__: f for f in (op1_url_host_trust, op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op7_line_dedup, op8_language_id,
                               op9_document_fingerprints, op10_chat_perspectives)
 }
 
