@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from .common import stored
-from .components import components
+from .components import components, local_stars
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Points the tree is fitted on at most; aimed points of a shard; points compared with each other.
@@ -130,8 +130,9 @@ def near_pairs(points: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tu
             yield a[i[keep]], p[k + j[keep]]
 
 
-def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b) of all pairs within the radius among distinct non-null longs ``fp``."""
+def links(points: DataFrame, radius: int = RADIUS, stars: bool = False) -> DataFrame:
+    """(a, b) of all pairs within the radius among distinct non-null longs ``fp``; with
+    ``stars`` a shard's pairs are replaced by fewer ones of the same components."""
     spark, rows = points.sparkSession, points.count()
     sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"]
     tree = Tree(sample.to_numpy(np.int64).view(np.uint64), rows, radius)
@@ -147,7 +148,10 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
         found = list(near_pairs(np.sort(shard["fp"].to_numpy(np.int64).view(np.uint64)), radius))
         a = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.uint64)
         b = np.concatenate([x for _, x in found]) if found else np.empty(0, np.uint64)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)}).drop_duplicates()
+        a, b = a.view(np.int64), b.view(np.int64)
+        if stars and len(a):
+            a, b = local_stars(a, b)
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
     shards = points.select("fp").mapInPandas(route, "shard int, fp long")
     return shards.groupBy("shard").applyInPandas(pairs, "a long, b long")
@@ -161,7 +165,7 @@ def groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> tuple[
                               fingerprint_column(F.col("text"), size).alias("fp")), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     points = stored(rows.groupBy("fp").agg(first), "fingerprints")
-    linked = components(links(points, radius))
+    linked = components(links(points, radius, stars=True))
     points = points.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
     points = stored(points.withColumn("component", F.coalesce("component", "fp")), "components")
     heads = points.groupBy("component").agg(F.min("first").alias("head"))
@@ -179,9 +183,9 @@ def assign(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFr
 def deduplicate(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents that represent their group, one row a group, with all their columns."""
     _, points = groups(docs, size, radius)
-    kept = points.select(F.col("component_id").alias("__id"), F.col("head_hash").alias("__hash")).distinct()
-    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash"))
-    once = W.partitionBy("__id", "__hash").orderBy("__id")
-    return (docs.join(kept, same).withColumn("__nth", F.row_number().over(once)).where("__nth = 1")
-            .select(*docs.columns))
+    heads = points.select(F.col("component_id").alias("id"), F.col("head_hash").alias("hash")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    kept = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    once = W.partitionBy("doc_id", "text_hash").orderBy("hash")
+    return kept.withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row.*")
