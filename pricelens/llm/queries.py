@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, bpe, hosttrust, langid, linededup, mixing, perspectives, simhash, warc
+from . import bottomk, bpe, covertree, hosttrust, langid, linededup, mixing, perspectives, simhash, warc
 from .common import read
 
 
@@ -32,6 +32,10 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), bpe.default_path())
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.link(read(spark, sf_dir, "embeddings"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.deduplicate(docs).select(
@@ -57,8 +61,8 @@ def op10_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_host_trust, op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op7_line_dedup, op8_language_id,
-                              op9_document_fingerprints, op10_chat_perspectives)
+    f.__name__: f for f in (op1_url_host_trust, op2_entropy_mix, op3_warc_bundles, op4_simhash_near_dedup, op5_bpe_round_trip, op6_embedding_near_dedup, op7_line_dedup,
+                              op8_language_id, op9_document_fingerprints, op10_chat_perspectives)
 }
 
 #: op10 in DuckDB: the same rendering by string aggregation over (conversation, speaker, part).
