@@ -134,21 +134,21 @@ def compare_with_edits(docs: DataFrame, k: int = K, size: int = SHINGLE) -> Data
     rows with equal doc_id the smallest text is the one that stands as "next"; each
     such row is fingerprinted. Without any non-null doc_id the next text is empty.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce("text", F.lit("")).alias("text"))
-    ids = common.stored(base.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct(), "doc_ids")
-    first = ids.agg(F.min("id")).first()[0]
-    after = successors(ids).withColumnRenamed("id", "doc_id")
-    half = F.floor(F.length("text") / 2).cast("int")
-    own = (base.join(after, "doc_id", "left")
-           .withColumn("next_id", F.coalesce("next_id", F.lit(first).cast("long")))
-           .withColumn("n_chars", F.length("text").cast("long")).withColumn("half", half))
-    own = with_sketch(own, "text", "own_sketch", k, size)
-    own = own.select("doc_id", "next_id", "n_chars", "half", "own_sketch",
-                     F.expr("left(text, CAST(n_chars AS INT) - half)").alias("head"))
-    follows = (base.where("doc_id IS NOT NULL")
-               .withColumn("__nth", F.row_number().over(W.partitionBy("doc_id").orderBy("text")))
-               .where("__nth = 1").select(F.col("doc_id").alias("next_id"), F.col("text").alias("next_text")))
+    base = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("body"))
+    known = base.where("id IS NOT NULL")
+    ids = common.stored(known.select("id").distinct(), "doc_ids")
+    first = F.lit(ids.agg(F.min("id")).first()[0]).cast("long")
+    half = F.floor(F.length("body") / 2).cast("int")
+    own = (known.join(successors(ids), "id", "left").withColumn("next_id", F.coalesce("next_id", first))
+           .unionByName(base.where("id IS NULL").withColumn("next_id", first))
+           .withColumn("n_chars", F.length("body").cast("long")).withColumn("half", half))
+    own = with_sketch(own, "body", "own_sketch", k, size)
+    own = own.select(F.col("id").alias("doc_id"), "next_id", "n_chars", "half", "own_sketch",
+                     F.expr("left(body, CAST(n_chars AS INT) - half)").alias("head"))
+    # lag, not a rank: a rank's limit before the shuffle, like a column renamed on one
+    # side only, would keep the two uses of ``known`` from sharing one shuffle of texts
+    follows = (known.withColumn("__before", F.lag(F.lit(1)).over(W.partitionBy("id").orderBy("body")))
+               .where("__before IS NULL").select(F.col("id").alias("next_id"), F.col("body").alias("next_text")))
     both = (own.join(follows, "next_id", "left")
             .withColumn("next_text", F.coalesce("next_text", F.lit("")))
             .withColumn("edited", F.concat("head", F.expr("left(next_text, half)"))))
