@@ -94,7 +94,7 @@ class Transducer:
         for token, i in added.items():
             self.bytes_of[i] = token.encode()
         self.lookahead = lookahead(merges, self.made, [len(b) for b in self.bytes_of])
-        self.window = 2 * self.lookahead + 256
+        self.window = 2 * self.lookahead + 2 * max(map(len, self.bytes_of))  # more than lookahead and a token
         self.pieces = regex.compile(PATTERN)
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.bytes_of))]
         self.added = {t: i.to_bytes(4, "little") for t, i in added.items()}
