@@ -181,11 +181,22 @@ def _suspects(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _variants(suspects: DataFrame) -> DataFrame:
     def run(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            for h1, h2, line in zip(batch["h1"], batch["h2"], batch["line"], strict=True):
-                yield pd.DataFrame({"variant": variant_keys(line.encode().split(b" ")), "h1": h1, "h2": h2})
+            h1, h2 = (batch.column(k).to_numpy() for k in (0, 1))
+            keys, begin, size = [], 0, 0
+            for k, line in enumerate(batch.column(2)):
+                keys.append(variant_keys(line.as_py().encode().split(b" ")))
+                size += len(keys[-1])
+                if size > 200_000 or k == len(h1) - 1:
+                    counts = [len(x) for x in keys]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(keys)), pa.array(np.repeat(h1[begin : k + 1], counts)),
+                         pa.array(np.repeat(h2[begin : k + 1], counts))], names=["variant", "h1", "h2"])
+                    keys, begin, size = [], k + 1, 0
 
-    return suspects.mapInPandas(run, "variant long, h1 long, h2 long")
+    return suspects.select("h1", "h2", "line").mapInArrow(run, "variant long, h1 long, h2 long")
 
 
 def near_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
