@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..config import PanelRoles
+from ..session import ensure_checkpoint_dir
 
 
 def _order(cols, descending=False):
@@ -154,12 +155,7 @@ def materialize(df: DataFrame) -> DataFrame:
     re-running the join and shuffle) and lets several passes over the same
     rows read them once materialised.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        d = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            return df
-        sc.setCheckpointDir(d)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -237,9 +237,15 @@ def price_grouping_sets(df: DataFrame, r: PanelRoles) -> DataFrame:
         cond = F.grouping(role[s[0]]) == 0
         lab = "_".join(s)
         label = F.when(cond, F.lit(lab)) if label is None else label.when(cond, F.lit(lab))
+    # A row whose key is null in a set it belongs to is no group of that set (K24); it is
+    # told from a column that the set leaves out by grouping().
+    real = F.lit(True)
+    for c in cols:
+        real = real & ((F.grouping(c) == 1) | F.col(c).isNotNull())
     return (df.groupingSets(sets, *cols)
               .agg(F.avg(r.price).alias("price_mean"), F.count(r.price).alias("n_obs"),
-                   label.alias("grouping_set")))
+                   label.alias("grouping_set"), real.alias("_real"))
+              .filter("_real").drop("_real"))
 
 
 # A24 ------------------------------------------------------------------------
@@ -423,7 +429,9 @@ SELECT region_norm, month, state, product_norm, brand_norm, city, quarter,
             WHEN grouping(brand_norm) = 0 THEN 'brand_product' WHEN grouping(city) = 0 THEN 'city_quarter'
        END AS grouping_set
 FROM silver
-GROUP BY GROUPING SETS ((region_norm, month), (state, product_norm), (brand_norm, product_norm), (city, quarter))""",
+GROUP BY GROUPING SETS ((region_norm, month), (state, product_norm), (brand_norm, product_norm), (city, quarter))
+HAVING {" AND ".join(f"(grouping({c}) = 1 OR {c} IS NOT NULL)" for c in
+                     ("region_norm", "month", "state", "product_norm", "brand_norm", "city", "quarter"))}""",
         "mean_price_state_month": f"""
 SELECT state, year, month, product_norm, avg(price) AS price_mean, count(price) AS n_obs
 FROM silver WHERE {nn('state','year','month','product_norm')} GROUP BY state, year, month, product_norm""",

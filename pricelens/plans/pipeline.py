@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -24,22 +24,48 @@ GOLD_FAMILIES = {
                 "category_analysis", "price_volume_elasticity"],
 }
 
+GOLD_DESCRIPTIONS = {
+    "monthly_price_evolution": "mean, median, range and deviation of prices per product and month",
+    "seasonality": "mean price per product and calendar month",
+    "annual_trends": "yearly mean price per product and its change",
+    "price_volatility": "spread of prices per product and month",
+    "state_price_ranking": "states ranked by mean price per product",
+    "regional_analysis": "prices per region and product with the dearest and cheapest marked",
+    "regional_disparity": "distance between the dearest and the cheapest region per product",
+    "brand_market_share": "share of observations per brand and product",
+    "brand_positioning": "brands by price tier per product",
+    "major_brand_competitiveness": "major brands against the product mean",
+    "ethanol_ratio_history": "price ratio of the substitute pair over time",
+    "ethanol_viability_by_state": "share of days on which the substitute pays, per state",
+    "variant_comparison": "plain against variant product prices",
+    "category_analysis": "prices, brands and places per product category",
+    "price_volume_elasticity": "correlation of price and number of observations",
+}
+
+
+def record_id(columns):
+    """128-bit digest of a raw row: every column with its nulls marked, so equal rows, and
+    only they, share an id whatever file they come from."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("~")) for c in columns]
+    sized = [F.concat(F.length(c).cast("string"), c) for c in cells]
+    return F.md5(F.concat(*sized).cast("binary"))
+
 
 def add_technical_columns(df: DataFrame, roles: PanelRoles, load_ts=None, source_file: str | None = None,
                           date_source: str | None = None, fmt: str = C.DATE_FORMAT) -> DataFrame:
-    """Load timestamp, source file, stable record id, parsed date, ano, mes.
+    """Load timestamp, source file, content id, parsed date, ano, mes.
 
-    The record id is a 64-bit hash of the business key and tie-break columns:
-    computed per row in place (no global ordering, no single task).
+    ``source_file`` names the origin of rows that no file scan produced; without it the
+    scanned file's name is taken. The record id is a 128-bit digest of the raw row, computed
+    in place: rows that repeat have one id.
     """
     ts = F.lit(load_ts).cast("timestamp") if load_ts is not None else F.current_timestamp()
     src = F.lit(source_file) if source_file else F.col("_metadata.file_name")
-    ident = [F.col(f"`{c}`") for c in list(roles.key) + list(roles.tiebreak) if c in df.columns]
     parsed = (F.to_date(F.try_to_timestamp(F.col(date_source), F.lit(fmt))) if date_source
               else F.col(roles.date))
     return df.withColumns({
         "bronze_load_timestamp": ts, "bronze_source_file": src,
-        "bronze_record_id": F.xxhash64(*ident), "data_coleta_parsed": parsed,
+        "bronze_record_id": record_id(df.columns), "data_coleta_parsed": parsed,
     }).withColumns({"ano": F.year("data_coleta_parsed"), "mes": F.month("data_coleta_parsed")})
 
 
@@ -48,8 +74,14 @@ def _report(layer, status, t0, **kw) -> dict:
 
 
 def run_bronze(spark: SparkSession, raw: DataFrame, roles: PanelRoles, out: str,
-               rules: dict | None = None, keys=None, date_source: str | None = None, load_ts=None) -> dict:
-    """Validate -> technical columns -> partitioned write -> report."""
+               rules: dict | None = None, keys=None, date_source: str | None = None, load_ts=None,
+               source_file: str | None = "raw", strict: bool = False) -> dict:
+    """Validate -> technical columns -> partitioned write -> report.
+
+    Rows without a parseable date are written to ``<out>_rejects`` and counted, so that
+    records + rejected is the number of input rows; with ``strict`` they fail the job.
+    ``source_file=None`` takes the file name of a file scan.
+    """
     t0 = time.time()
     try:
         score, issues = None, []
@@ -60,16 +92,21 @@ def run_bronze(spark: SparkSession, raw: DataFrame, roles: PanelRoles, out: str,
             score = Q.overall_score(report).first()["overall_score"]
             if score < C.MIN_QUALITY_SCORE:
                 issues = [r["issue"] for r in Q.quality_issues(report).collect()]
-        b = add_technical_columns(raw, roles, load_ts=load_ts, source_file="raw", date_source=date_source)
-        b = b.filter(F.col("ano").isNotNull())
-        files.write_layer(b, out)
-        written = files.read_layer(spark, out)
-        n = written.count()
-        parts = written.select("ano", "mes").distinct().count()
-        return _report("bronze", "completed", t0, records=n, partitions=parts, quality_score=score,
-                       quality_issues=issues, path=out)
+        b = add_technical_columns(raw, roles, load_ts=load_ts, source_file=source_file, date_source=date_source)
+        bad = f"{out.rstrip('/')}_rejects"
+        seen = Observation()
+        (b.filter(F.col("ano").isNull()).observe(seen, F.count(F.lit(1)).alias("rejected"))
+          .write.mode("overwrite").parquet(bad))
+        rejected = seen.get["rejected"]
+        if rejected and strict:
+            raise ValueError(f"{rejected} rows without a parseable date, see {bad}")
+        good = Observation()
+        files.write_layer(b.filter(F.col("ano").isNotNull()).observe(good, F.count(F.lit(1)).alias("records")), out)
+        parts = files.partition_inventory(spark, out).count() if good.get["records"] else 0
+        return _report("bronze", "completed", t0, records=good.get["records"], rejected=rejected, partitions=parts,
+                       quality_score=score, quality_issues=issues, path=out)
     except Exception as e:  # noqa: BLE001 - the report carries the failure
-        return _report("bronze", "failed", t0, error=str(e)[:500])
+        return _report("bronze", "failed", t0, error=str(e))
 
 
 def silver_rules(roles: PanelRoles, valid_products=None, valid_regions=None,
@@ -102,7 +139,7 @@ def run_silver(spark: SparkSession, bronze_path: str, roles: PanelRoles, out: st
         score = Q.overall_score(rep).first()["overall_score"]
         return _report("silver", "completed", t0, records=n, quality_score=score, path=out)
     except Exception as e:  # noqa: BLE001
-        return _report("silver", "failed", t0, error=str(e)[:500])
+        return _report("silver", "failed", t0, error=str(e))
 
 
 def run_gold(spark: SparkSession, silver_path: str, roles: PanelRoles, out: str) -> dict:
@@ -115,7 +152,7 @@ def run_gold(spark: SparkSession, silver_path: str, roles: PanelRoles, out: str)
         written = files.write_gold(ds, out)
         return _report("gold", "completed", t0, datasets=written.filter("records > 0").count(), path=out)
     except Exception as e:  # noqa: BLE001
-        return _report("gold", "failed", t0, error=str(e)[:500])
+        return _report("gold", "failed", t0, error=str(e))
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, roles: PanelRoles, root: str,

@@ -8,7 +8,7 @@ from .. import config as C
 from ..operators import clean, quality as Q
 from ..sources.panel import PANEL_SQL, star_panel
 from . import sqlgen as S
-from .stages import KEY, RAW_V1_SQL, RAW_V2_SQL, STAR_DATE_RANGE, STAR_PRICE_RANGE, raw_v1, raw_v2
+from .stages import DIRTY_V1_SQL, DIRTY_V2_SQL, KEY, STAR_DATE_RANGE, STAR_PRICE_RANGE, dirty_raw_v1, dirty_raw_v2
 
 STAR_PRODUCTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 STAR_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -17,7 +17,7 @@ RULES_V2 = {
     "Valor_Venda": {"min": STAR_PRICE_RANGE[0], "max": STAR_PRICE_RANGE[1]},
     "Valor_Compra": {"min": STAR_PRICE_RANGE[0], "max": STAR_PRICE_RANGE[1]},
     "Produto": {"values": STAR_PRODUCTS},
-    "Regiao": {"values": STAR_REGIONS[:4]},
+    "Regiao": {"values": STAR_REGIONS},
     "Data_Coleta": {"date_format": C.DATE_FORMAT},
 }
 KEYS_V2 = ["CNPJ", "Data_Coleta", "Produto"]
@@ -31,11 +31,11 @@ V1_COLS = ["regiao_sigla", "estado_sigla", "municipio", "revenda", "cnpj_revenda
 
 
 def bronze_raw(spark, d):
-    return raw_v2(star_panel(spark, d)).drop(*KEY)
+    return dirty_raw_v2(star_panel(spark, d)).drop(*KEY)
 
 
 def std_v1(spark, d):
-    return clean.standardize_columns(raw_v1(star_panel(spark, d))).drop(*KEY)
+    return clean.standardize_columns(dirty_raw_v1(star_panel(spark, d))).drop(*KEY)
 
 
 def _report(spark, d):
@@ -78,7 +78,7 @@ QUERIES = {
     "price_validation": _prices,
     "date_validation": lambda s, d: Q.date_validation(std_v1(s, d), "data_coleta", STAR_DATE_RANGE),
     "geo_validation": lambda s, d: Q.geo_validation(std_v1(s, d), {
-        "region": ("regiao_sigla", STAR_REGIONS), "state": ("estado_sigla", STAR_STATES[:20])}),
+        "region": ("regiao_sigla", STAR_REGIONS), "state": ("estado_sigla", STAR_STATES)}),
     "iqr_outliers": _outliers,
     "quality_weighted_score": _weighted,
     "quality_status_band": lambda s, d: Q.status_band(_weighted(s, d)),
@@ -95,6 +95,11 @@ STABLE = {
 }
 
 
+def report_sql() -> str:
+    """The quality report's SQL, for the query that writes the report."""
+    return oracle()["quality_report"]
+
+
 def _dq(c):
     return '"' + c + '"'
 
@@ -205,16 +210,20 @@ def oracle() -> dict:
     band = " ".join(f"WHEN quality_score >= {lo_!r} THEN {S.q(lab)}" for lo_, lab in C.V1_STATUS_BANDS)
 
     def P(body, *ctes):
-        return S.with_ctes(PANEL_SQL, RAW_V2_SQL, B, *ctes, body=body)
+        return S.with_ctes(PANEL_SQL, *DIRTY_V2_SQL, B, *ctes, body=body)
 
     def V(body, *ctes):
-        return S.with_ctes(PANEL_SQL, RAW_V1_SQL, std, *ctes, body=body)
+        return S.with_ctes(PANEL_SQL, *DIRTY_V1_SQL, std, *ctes, body=body)
 
     dlo, dhi = STAR_DATE_RANGE
     def geo(lvl, c, vals):
         return (f"""SELECT '{lvl}' AS level, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows,
             COALESCE({c} IN {S.in_list(vals)}, false) AS is_valid FROM std GROUP BY {c}""")
+    missing = sorted(set(C.FUEL_V1_REQUIRED) - set(V1_COLS))
+    extra = sorted(set(V1_COLS) - set(C.FUEL_V1_REQUIRED))
     return {
+        "schema_check": V(f"SELECT {S.q(','.join(missing))} AS missing_columns, {S.q(','.join(extra))} AS extra_columns, "
+                          f"{not missing} AS schema_valid, count(*) AS n_rows FROM std"),
         "quality_completeness": P(comp_sql()),
         "quality_validity": P(val_sql()),
         "quality_uniqueness": P(uniq),
@@ -229,7 +238,7 @@ def oracle() -> dict:
                    CAST(count_if(data_coleta < DATE '{dlo}' OR data_coleta > DATE '{dhi}') AS BIGINT) AS out_of_range_count,
                    min(data_coleta) AS min_date, max(data_coleta) AS max_date FROM std)"""),
         "geo_validation": V(geo("region", "regiao_sigla", STAR_REGIONS) + "\nUNION ALL\n"
-                            + geo("state", "estado_sigla", STAR_STATES[:20])),
+                            + geo("state", "estado_sigla", STAR_STATES)),
         "iqr_outliers": V("SELECT * FROM iqr", iqr),
         "quality_weighted_score": V("SELECT * FROM ws", v1c, prices, iqr, weighted),
         "quality_status_band": V(f"SELECT quality_score, CASE {band} ELSE {S.q(C.V1_STATUS_DEFAULT)} END AS status FROM ws",

@@ -29,6 +29,7 @@ STABLE = {
     "price_volume_elasticity": ["price_volume_corr", "price_mean"],
     **gold_v1.STABLE,
     **quality_q.STABLE,
+    **io_q.STABLE,
     "dash_evolution": ["price_mean"],
     "dash_regional_main": ["price_mean"],
     "viability_by_state_month": ["pair_ratio"],

@@ -73,6 +73,54 @@ RAW_V2_SQL = """raw_v2 AS (SELECT l_orderkey, l_linenumber, region AS "Regiao",
   'R$ / UN' AS "Unidade_Medida", brand AS "Bandeira" FROM panel)"""
 
 
+# --- dirty values -------------------------------------------------------------
+# Cleaning operators need something to clean. Rows take one of 25 slots by their key, and
+# some slots get a defect; both engines derive the same values from the tables.
+SLOT = "(l_orderkey * 7 + l_linenumber) % 25"
+DEFECTS = {
+    "price": "CASE {slot} WHEN 1 THEN NULL WHEN 2 THEN 0.0 WHEN 3 THEN -price ELSE price END",
+    "cost": "CASE {slot} WHEN 4 THEN -cost ELSE cost END",
+    "city": "CASE {slot} WHEN 8 THEN ' nan ' WHEN 9 THEN 'None' ELSE city END",
+    "brand": "CASE {slot} WHEN 10 THEN '' WHEN 11 THEN concat('POSTO ', brand) WHEN 12 THEN 'POSTO DA ESQUINA' ELSE brand END",
+    "station_code": "CASE {slot} WHEN 13 THEN 'S-12' ELSE station_code END",
+    "product": "CASE {slot} WHEN 14 THEN 'PROMOTIONAL' WHEN 19 THEN NULL ELSE product END",
+    "region": "CASE {slot} WHEN 15 THEN 'AFRICA' WHEN 18 THEN NULL ELSE region END",
+    "state": "CASE {slot} WHEN 16 THEN NULL WHEN 17 THEN 'ATLANTIS' ELSE state END",
+}
+BAD_DATES = "CASE {slot} WHEN 5 THEN '31/02/1996' WHEN 6 THEN 'sem data' ELSE {date} END"
+EMPTY_SLOT = 7
+
+
+def dirty_panel(panel: DataFrame) -> DataFrame:
+    """The panel with defects by slot (see ``DEFECTS``)."""
+    return panel.withColumns({c: F.expr(e.format(slot=SLOT)) for c, e in DEFECTS.items()})
+
+
+DIRTY_SQL = "dirty AS (SELECT * REPLACE (" + ", ".join(
+    f"{e.format(slot=SLOT)} AS {c}" for c, e in DEFECTS.items()) + ") FROM panel)"
+
+
+def dirty_raw_v1(panel: DataFrame) -> DataFrame:
+    """A first-generation raw file with defects; rows of one slot are empty but for their key."""
+    raw = raw_v1(dirty_panel(panel))
+    return raw.select(*KEY, *[F.when(F.expr(SLOT) != EMPTY_SLOT, F.col(f"`{c}`")).alias(c)
+                              for c in raw.columns if c not in KEY])
+
+
+def dirty_raw_v2(panel: DataFrame) -> DataFrame:
+    """A second-generation raw file with defects, dates that can't be parsed among them."""
+    return raw_v2(dirty_panel(panel)).withColumn("Data_Coleta", F.expr(BAD_DATES.format(slot=SLOT, date="Data_Coleta")))
+
+
+DIRTY_V1_SQL = [DIRTY_SQL, RAW_V1_SQL.replace("raw_v1 AS", "full_v1 AS").replace("FROM panel", "FROM dirty"),
+                "raw_v1 AS (SELECT l_orderkey, l_linenumber, " + ", ".join(
+                    f'CASE WHEN {SLOT} <> {EMPTY_SLOT} THEN "{c}" END AS "{c}"' for c in C.FUEL_V1_RAW_COLUMNS)
+                + " FROM full_v1)"]
+DIRTY_V2_SQL = [DIRTY_SQL, RAW_V2_SQL.replace("raw_v2 AS", "full_v2 AS").replace("FROM panel", "FROM dirty"),
+                "raw_v2 AS (SELECT * REPLACE (" + BAD_DATES.format(slot=SLOT, date='"Data_Coleta"')
+                + ' AS "Data_Coleta") FROM full_v2)']
+
+
 def _panel_sql(body: str, *ctes) -> str:
     return S.with_ctes(PANEL_SQL, *ctes, body=body)
 
@@ -84,11 +132,11 @@ def q_clean_text(spark, d):
 
 def q_clean_text_nullify(spark, d):
     cols = ["city", "station_code", "brand", "product"]
-    return clean.clean_text_nullify(star_panel(spark, d), cols).select(*KEY, *cols)
+    return clean.clean_text_nullify(dirty_panel(star_panel(spark, d)), cols).select(*KEY, *cols)
 
 
 def q_positive_prices(spark, d):
-    return clean.positive_prices(star_panel(spark, d), R).select(*KEY, "price", "cost")
+    return clean.positive_prices(dirty_panel(star_panel(spark, d)), R).select(*KEY, "price", "cost")
 
 
 def q_sigma_outlier_filter(spark, d):
@@ -96,12 +144,13 @@ def q_sigma_outlier_filter(spark, d):
 
 
 def q_valid_dates(spark, d):
-    df = raw_v2(star_panel(spark, d))
+    df = dirty_raw_v2(star_panel(spark, d))
     return clean.valid_dates(df, "data_coleta_parsed", "Data_Coleta").select(*KEY, "Data_Coleta", "data_coleta_parsed")
 
 
 def q_drop_all_null_rows(spark, d):
-    return clean.drop_all_null_rows(raw_v1(star_panel(spark, d))).select(*KEY, "Produto", "Complemento")
+    raw = dirty_raw_v1(star_panel(spark, d)).drop(*KEY)   # the key would keep an empty row
+    return clean.drop_all_null_rows(raw).select("Cep", "Municipio", "Produto", "Complemento")
 
 
 def q_standardize_columns(spark, d):
@@ -109,7 +158,7 @@ def q_standardize_columns(spark, d):
 
 
 def q_drop_missing_required(spark, d):
-    df = clean.standardize_columns(raw_v1(star_panel(spark, d)))
+    df = clean.standardize_columns(dirty_raw_v1(star_panel(spark, d)))
     df = enrich.categorize_product_v1(df, "produto", "categoria_produto", rules=C.FUEL_CATEGORY_RULES_V1)
     return clean.drop_missing_required(df, C.FUEL_V1_REQUIRED).select(*KEY, *C.FUEL_V1_REQUIRED)
 
@@ -122,7 +171,7 @@ def q_nullify_out_of_range(spark, d):
 
 
 def q_clean_digits_code(spark, d):
-    df = clean.standardize_columns(raw_v1(star_panel(spark, d)))
+    df = clean.standardize_columns(dirty_raw_v1(star_panel(spark, d)))
     df = clean.clean_digits_code(df, "cnpj_revenda", 6)
     df = clean.clean_digits_code(df, "cep", 8)
     return df.select(*KEY, "cnpj_revenda", "cep")
@@ -137,7 +186,7 @@ def q_dedup_keep_last(spark, d):
 
 
 def q_normalize_product(spark, d):
-    return normalize.normalize_product(star_panel(spark, d), R).select(*KEY, "product", "product_norm")
+    return normalize.normalize_product(dirty_panel(star_panel(spark, d)), R).select(*KEY, "product", "product_norm")
 
 
 def q_normalize_region(spark, d):
@@ -145,7 +194,7 @@ def q_normalize_region(spark, d):
 
 
 def q_normalize_brand(spark, d):
-    df = clean.clean_text(star_panel(spark, d))
+    df = clean.clean_text(dirty_panel(star_panel(spark, d)))
     return normalize.normalize_brand(df, R).select(*KEY, "brand", "brand_norm")
 
 
@@ -154,15 +203,12 @@ def q_clean_tax_id(spark, d):
 
 
 def q_region_from_state(spark, d):
-    """v1 geography with the star schema's own state -> region dimension
-    (25 nations, fixed by the schema) as the mapping."""
+    """v1 geography with the star schema's own state -> region dimension (25 nations, fixed
+    by the schema) as the mapping, over states and regions with defects."""
     nat = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    mapping = nat.select(F.col("n_name").alias("state"), F.col("r_name").alias("region_derived"))
-    df = star_panel(spark, d).select(*KEY, "state", "region")
-    out = df.join(F.broadcast(mapping), "state", "left")
-    out = out.withColumn("region_consistent",
-                         F.coalesce(F.col("region") == F.col("region_derived"), F.lit(False)))
-    return out.withColumn("region_v1", F.col("region_derived"))
+    mapping = {r["n_name"]: r["r_name"] for r in nat.select("n_name", "r_name").collect()}
+    df = dirty_panel(star_panel(spark, d)).select(*KEY, "state", "region")
+    return normalize.region_from_state(df, "state", "region", mapping)
 
 
 def q_categorize_product(spark, d):
@@ -260,18 +306,20 @@ def oracle() -> dict:
     v1cat = S.cascade("upper(produto)", C.FUEL_CATEGORY_RULES_V1, C.CATEGORY_DEFAULT, C.CATEGORY_V1_NULL)
     return {
         "clean_text": _panel_sql(f"SELECT {KEYS}, {txt} FROM panel"),
-        "clean_text_nullify": _panel_sql(f"SELECT {KEYS}, {nullify} FROM panel"),
-        "positive_prices": _panel_sql(f"SELECT {KEYS}, price, cost FROM panel WHERE price > 0 AND cost > 0"),
+        "clean_text_nullify": _panel_sql(f"SELECT {KEYS}, {nullify} FROM dirty", DIRTY_SQL),
+        "positive_prices": _panel_sql(f"SELECT {KEYS}, price, cost FROM dirty WHERE price > 0 AND cost > 0", DIRTY_SQL),
         "sigma_outlier_filter": _panel_sql(f"SELECT {KEYS}, price, cost FROM c2", *sigma),
         "valid_dates": _panel_sql(f"""SELECT * FROM (SELECT {KEYS}, "Data_Coleta",
               CAST(try_strptime("Data_Coleta", '%d/%m/%Y') AS DATE) AS data_coleta_parsed FROM raw_v2)
-            WHERE data_coleta_parsed IS NOT NULL""", RAW_V2_SQL),
-        "drop_all_null_rows": _panel_sql(f'SELECT {KEYS}, "Produto", "Complemento" FROM raw_v1', RAW_V1_SQL),
+            WHERE data_coleta_parsed IS NOT NULL""", *DIRTY_V2_SQL),
+        "drop_all_null_rows": _panel_sql(
+            'SELECT "Cep", "Municipio", "Produto", "Complemento" FROM raw_v1 WHERE NOT ('
+            + " AND ".join(f'"{c}" IS NULL' for c in C.FUEL_V1_RAW_COLUMNS) + ")", *DIRTY_V1_SQL),
         "standardize_columns": _panel_sql("SELECT * FROM std", RAW_V1_SQL, std),
         "drop_missing_required": _panel_sql(f"""SELECT * FROM (SELECT {KEYS}, regiao_sigla, estado_sigla,
               {v1cat} AS categoria_produto, data_coleta, valor_venda FROM std)
             WHERE regiao_sigla IS NOT NULL AND estado_sigla IS NOT NULL AND categoria_produto IS NOT NULL
-              AND data_coleta IS NOT NULL AND valor_venda IS NOT NULL""", RAW_V1_SQL, std),
+              AND data_coleta IS NOT NULL AND valor_venda IS NOT NULL""", *DIRTY_V1_SQL, std),
         "nullify_out_of_range": _panel_sql(f"""SELECT {KEYS},
               CASE WHEN valor_venda BETWEEN {STAR_PRICE_RANGE[0]!r} AND {STAR_PRICE_RANGE[1]!r} THEN valor_venda END AS valor_venda,
               CASE WHEN data_coleta BETWEEN DATE '{STAR_DATE_RANGE[0]}' AND DATE '{STAR_DATE_RANGE[1]}' THEN data_coleta END AS data_coleta
@@ -279,19 +327,19 @@ def oracle() -> dict:
         "clean_digits_code": _panel_sql(f"""SELECT {KEYS},
               CASE WHEN length(regexp_replace(cnpj_revenda, '[^0-9]', '', 'g')) = 6 THEN regexp_replace(cnpj_revenda, '[^0-9]', '', 'g') END AS cnpj_revenda,
               CASE WHEN length(regexp_replace(cep, '[^0-9]', '', 'g')) = 8 THEN regexp_replace(cep, '[^0-9]', '', 'g') END AS cep
-            FROM std""", RAW_V1_SQL, std),
+            FROM std""", *DIRTY_V1_SQL, std),
         "dedup_keep_first": _panel_sql(f"""SELECT {KEYS}, {tb}, price FROM panel
             QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY {order_first}) = 1"""),
         "dedup_keep_last": _panel_sql(f"""SELECT {KEYS}, {tb}, price FROM panel
             QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY {order_last}) = 1"""),
-        "normalize_product": _panel_sql(f"SELECT {KEYS}, product, {S.map_keep('product', R.product_map)} AS product_norm FROM panel"),
+        "normalize_product": _panel_sql(f"SELECT {KEYS}, product, {S.map_keep('product', R.product_map)} AS product_norm FROM dirty", DIRTY_SQL),
         "normalize_region": _panel_sql(f"SELECT {KEYS}, region, {S.map_keep('region', R.region_map)} AS region_norm FROM panel"),
-        "normalize_brand": _panel_sql(f"SELECT {KEYS}, upper(trim(brand)) AS brand, {brand_norm} AS brand_norm FROM panel"),
+        "normalize_brand": _panel_sql(f"SELECT {KEYS}, upper(trim(brand)) AS brand, {brand_norm} AS brand_norm FROM dirty", DIRTY_SQL),
         "clean_tax_id": _panel_sql(f"SELECT {KEYS}, station_code, regexp_replace(station_code, '[^0-9]', '', 'g') AS tax_id_clean FROM panel"),
         "region_from_state": _panel_sql(f"""SELECT p.state, {', '.join('p.' + k for k in KEY)}, p.region, m.r_name AS region_derived,
               COALESCE(p.region = m.r_name, false) AS region_consistent, m.r_name AS region_v1
-            FROM panel p LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) m
-              ON p.state = m.n_name"""),
+            FROM dirty p LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) m
+              ON p.state = m.n_name""", DIRTY_SQL),
         "categorize_product": _panel_sql(f"""SELECT {KEYS}, product_norm,
               {S.cascade('product_norm', R.category_rules, C.CATEGORY_DEFAULT)} AS product_category
             FROM (SELECT *, {S.map_keep('product', R.product_map)} AS product_norm FROM panel)"""),

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,26 +51,35 @@ def csv_header_check(spark: SparkSession, path: str, expected) -> dict:
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8",
               mode: str = "overwrite") -> str:
-    """Header CSV sink."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+    """Header CSV sink; blanks around a value are part of it."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("encoding", encoding)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
-def file_profile(df: DataFrame, price: str, cost: str | None = None, hi: float = 50.0) -> DataFrame:
-    """S3 (v1 file validator) per source file: rows, nulls, duplicate rows,
-    prices <= 0 or > hi, completeness. ``df`` must come from a file scan."""
+def file_profile(df: DataFrame, price: str, cost: str | None = None, hi: float = 50.0,
+                 expected=(), min_completeness: float = 0.95) -> DataFrame:
+    """S3 (v1 file validator) per source file: rows, nulls in all and per column, expected
+    columns that are missing, duplicate rows, prices <= 0 or > hi, completeness, and whether
+    the file is valid (has rows, no column is missing, completeness high enough). ``df`` must
+    come from a file scan."""
     cols = [c for c in df.columns]
+    missing = sorted(set(expected) - set(cols))
     f = df.select("*", F.col("_metadata.file_name").alias("_file"))
-    nulls = sum([F.count_if(F.col(f"`{c}`").isNull()) for c in cols], F.lit(0))
+    null_of = {c: F.count_if(F.col(f"`{c}`").isNull()) for c in cols}
     per = f.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("rows"), nulls.alias("null_cells"),
+        F.count(F.lit(1)).alias("rows"), sum(null_of.values(), F.lit(0)).alias("null_cells"),
+        F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*null_of.values())).alias("nulls"),
         F.count_if((F.col(price) <= 0) | (F.col(price) > hi)).alias("bad_prices"))
     dist = (f.groupBy("_file", *[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_k"))
               .groupBy("_file").agg(F.count(F.lit(1)).alias("_distinct")))
     out = per.join(dist, "_file", "left")
-    return out.select(F.col("_file").alias("file_name"), "rows", "null_cells",
+    complete = 1.0 - F.col("null_cells") / (F.col("rows") * float(len(cols)))
+    return out.select(F.col("_file").alias("file_name"), "rows", "null_cells", "nulls",
+                      F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
                       (F.col("rows") - F.col("_distinct")).alias("duplicate_rows"), "bad_prices",
-                      (1.0 - F.col("null_cells") / (F.col("rows") * float(len(cols)))).alias("completeness"))
+                      complete.alias("completeness"),
+                      ((F.col("rows") > 0) & F.lit(not missing) & (complete >= min_completeness)).alias("valid"))
 
 
 # --- Parquet layers ------------------------------------------------------------
@@ -94,28 +103,40 @@ def write_layer(df: DataFrame, path: str, partition_cols=C.PARTITION_COLUMNS,
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """Recursive Parquet with partition discovery; unreadable files skipped."""
-    return spark.read.option("basePath", path).option("ignoreCorruptFiles", "true").parquet(path)
+    """Recursive Parquet with partition discovery. A file that can't be read is an error."""
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def read_layer_skipping(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
+    """S10/S11 for a damaged layer of a known schema: what can be read, and the files that were skipped.
+
+    The second frame has file, size_mb of every file that exists in the layer but whose
+    rows can't be read; nothing is skipped without a row there."""
+    df = spark.read.schema(schema).option("basePath", path).option("ignoreCorruptFiles", "true").parquet(path)
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+              .load(path).select(F.col("path").alias("file"), (F.col("length") / (1024.0 * 1024.0)).alias("size_mb")))
+    # a column is read, so that a file whose footer alone is sound doesn't count as read
+    seen = df.select(F.col("_metadata.file_path").alias("file"), F.col(df.columns[0])).select("file").distinct()
+    return df, listed.join(seen, "file", "left_anti")
 
 
 def write_gold(datasets: dict, root: str) -> DataFrame:
-    """``{name: (category, df)}`` -> ``root/category/name``; empty ones skipped.
-    Returns one row per dataset with its written row count.
+    """``{name: (category, df)}`` -> ``root/category/name``. Returns one row per dataset
+    with its written row count.
 
-    ``isEmpty`` and the write run on the same Dataset object, so the write
-    reuses the shuffle outputs the check materialised (those stages are
-    skipped); caching measured slower.
-    """
+    Each dataset is one job: rows are counted while they are written (``observe``); a
+    dataset that turns out empty is removed again, so empty ones leave no folder."""
     rows = []
     spark = None
     for name, (category, df) in datasets.items():
         spark = df.sparkSession
-        if df.isEmpty():
-            rows.append((category, name, None, 0))
-            continue
         path = f"{root.rstrip('/')}/{category}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        rows.append((category, name, path, spark.read.parquet(path).count()))
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(path)
+        records = seen.get["records"]
+        if not records:
+            delete_path(spark, path)
+        rows.append((category, name, path if records else None, records))
     return spark.createDataFrame(rows, "category string, dataset string, path string, records long")
 
 
@@ -133,6 +154,12 @@ def write_run_log(spark: SparkSession, summary: dict, path: str) -> DataFrame:
     return df
 
 
+def catalog_entry(layer: str, dataset: str, df: DataFrame, partitioning=(), description: str = "") -> dict:
+    """The catalog's entry for a written dataset; one count, columns from its schema."""
+    return {"layer": layer, "dataset": dataset, "records": df.count(), "columns": df.columns,
+            "partitioning": list(partitioning), "description": description}
+
+
 def dataset_catalog(spark: SparkSession, entries) -> DataFrame:
     """(layer, dataset, records, columns, partitioning, description)."""
     rows = [(e["layer"], e["dataset"], int(e["records"]), list(e["columns"]), list(e.get("partitioning", [])),
@@ -150,28 +177,62 @@ def partition_inventory(spark: SparkSession, path: str, partition_cols=C.PARTITI
                                               (F.sum("size") / (1024.0 * 1024.0)).alias("size_mb"))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours from any Hadoop file system; a missing one is fine."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def _dataset_roots(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet datasets below ``path``: itself if it holds files or partitions, else the
+    ``category/dataset`` folders of a Gold root."""
+    fs, p = _hadoop(spark, path)
+    out = []
+    for entry in fs.listStatus(p):
+        name = entry.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if not entry.isDirectory() or "=" in name:
+            return [path]
+        out += _dataset_roots(spark, entry.getPath().toString())
+    return sorted(out)
 
 
 def layer_validation(spark: SparkSession, layers: dict) -> DataFrame:
-    """``{layer: path}`` in order; a layer is checked only if the previous
-    one passed. Rows: layer, exists, records, columns, status."""
+    """``{layer: path}`` in order; a layer is checked only if the previous one passed.
+
+    One row per layer: exists, datasets, records, columns (of the widest dataset), size_mb,
+    status; the last row, ``overall``, sums up: ``passed`` if every layer did, ``failed`` if
+    one is missing, else ``warning``."""
+    kind = "layer string, exists boolean, datasets int, records long, columns int, size_mb double, status string"
     rows, ok = [], True
     for layer, path in layers.items():
         if not ok:
-            rows.append((layer, None, None, None, "skipped"))
+            rows.append((layer, None, None, None, None, None, "skipped"))
             continue
-        exists = path_exists(spark, path)
-        if not exists:
-            rows.append((layer, False, None, None, "failed"))
+        if not path_exists(spark, path):
+            rows.append((layer, False, None, None, None, None, "failed"))
             ok = False
             continue
-        df = read_layer(spark, path)
-        n = df.count()
-        status = "passed" if n > 0 else "warning"
-        rows.append((layer, True, n, len(df.columns), status))
-        ok = n > 0
-    return spark.createDataFrame(rows, "layer string, exists boolean, records long, columns int, status string")
+        frames = [read_layer(spark, root) for root in _dataset_roots(spark, path)]
+        records = sum(df.count() for df in frames)
+        fs, p = _hadoop(spark, path)
+        size = fs.getContentSummary(p).getLength() / (1024.0 * 1024.0)
+        ok = bool(frames) and records > 0
+        rows.append((layer, True, len(frames), records, max((len(df.columns) for df in frames), default=0), size,
+                     "passed" if ok else "warning"))
+    states = {r[-1] for r in rows}
+    overall = "failed" if "failed" in states else "passed" if states <= {"passed"} else "warning"
+    done = [r for r in rows if r[3] is not None]
+    rows.append(("overall", None, sum(r[2] for r in done), sum(r[3] for r in done), None, sum(r[5] for r in done), overall))
+    return spark.createDataFrame(rows, kind)

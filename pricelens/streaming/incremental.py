@@ -1,42 +1,107 @@
 """Incremental Bronze ingest with Structured Streaming.
 
-New raw CSV files in a landing folder are picked up as they arrive; rows get
-the technical columns; duplicates of a business key are dropped within the
-watermark (state is bounded by it); output is appended to the partitioned
-Bronze layer. Append + checkpoint gives exactly-once files per batch; a run
-with ``availableNow`` processes what is there and stops, so the same job
-serves scheduled batches and continuous runs.
+New raw CSV files in a landing folder are picked up as they arrive. Each batch gets
+the technical columns and is merged into the partitioned Bronze layer: among all rows
+of a business key, already written or new, the first by the tie-break columns stays
+(the rule of the batch path), so the result does not depend on how files fall into
+batches or on their order. Rows without a parseable date go to a reject folder, one
+sub-folder per batch, and are never dropped.
+
+Merging rewrites the (ano, mes) partitions that the batch touches, by dynamic partition
+overwrite from a staged copy under the checkpoint folder. A batch that is replayed after
+a failure finds its staged copy and writes the same files again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..config import PanelRoles
+from ..sources import files
+
+PARTS = list(C.PARTITION_COLUMNS)
+
+
+def _first_by_key(df: DataFrame, keys: list[str], tiebreak: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def _same_keys(keys: list[str]):
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"w.`{k}`").eqNullSafe(F.col(f"n.`{k}`"))
+    return out
+
+
+def merge_batch(batch: DataFrame, batch_id: int, out: str, rejects: str, staging: str,
+                keys: list[str], tiebreak: list[str]) -> None:
+    """Merge one batch (with technical columns) into the layer ``out``."""
+    spark = batch.sparkSession
+    staged = f"{staging}/{batch_id}"
+    if not files.path_exists(spark, f"{staged}/_SUCCESS"):
+        bad = batch.filter(F.col("ano").isNull())
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        new = _first_by_key(batch.filter(F.col("ano").isNotNull()), keys, tiebreak)
+        if files.path_exists(spark, out):
+            written = spark.read.schema(batch.schema).option("basePath", out).parquet(out)
+            fresh = new.select(*keys).distinct().alias("n")
+            # partitions that hold a key of this batch, and those its rows belong to
+            held = written.select(*keys, *PARTS).alias("w").join(fresh, _same_keys(keys), "left_semi").select(*PARTS)
+            touched = [tuple(r) for r in held.union(new.select(*PARTS)).distinct().collect()]
+            inside = F.lit(False)
+            for ano, mes in touched:   # one entry per month, read as partition filters
+                inside = inside | ((F.col("ano") == ano) & (F.col("mes") == mes))
+            new = _first_by_key(written.filter(inside).unionByName(new), keys, tiebreak)
+            gone = [(ano, mes, True) for ano, mes in touched]
+        else:
+            gone = []
+        new.write.mode("overwrite").parquet(staged)
+        if gone:
+            spark.createDataFrame(gone, "ano int, mes int, touched boolean").coalesce(1).write.mode("overwrite").parquet(
+                f"{staging}/{batch_id}-touched")
+    merged = spark.read.schema(batch.schema).parquet(staged)
+    if not merged.isEmpty():
+        files.write_layer(merged, out)
+    if files.path_exists(spark, f"{staging}/{batch_id}-touched/_SUCCESS"):
+        # a partition whose rows have all moved to another one holds nothing any more
+        left = {tuple(r) for r in merged.select(*PARTS).distinct().collect()}
+        for r in spark.read.parquet(f"{staging}/{batch_id}-touched").collect():
+            if (r["ano"], r["mes"]) not in left:
+                files.delete_path(spark, f"{out}/ano={r['ano']}/mes={r['mes']}")
+    files.delete_path(spark, f"{staging}/{batch_id - 1}")
+    files.delete_path(spark, f"{staging}/{batch_id - 1}-touched")
 
 
 def incremental_ingest(spark: SparkSession, landing: str, schema: T.StructType, roles: PanelRoles,
                        out: str, checkpoint: str, date_source: str = "Data_Coleta",
-                       watermark: str = "62 days", fmt: str = C.DATE_FORMAT,
+                       rejects: str | None = None, fmt: str = C.DATE_FORMAT,
                        available_now: bool = True, max_files_per_trigger: int = 1000):
+    """Start the ingest; ``max_files_per_trigger`` bounds a batch and has no effect on the result."""
     stream = (spark.readStream.schema(schema).option("header", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing))
+    keys = [k for k in roles.key if k in schema.fieldNames()]
+    # the raw row, then the file, break ties, so equal raw rows agree on their file
+    tiebreak = [c for c in [*roles.tiebreak, *schema.fieldNames()] if c in schema.fieldNames() and c not in keys]
+    tiebreak = [*dict.fromkeys(tiebreak), "bronze_source_file", "bronze_load_timestamp"]
+    from ..plans.pipeline import record_id
     ts = F.try_to_timestamp(F.col(date_source), F.lit(fmt))
-    ident = [F.col(f"`{c}`") for c in list(roles.key) + list(roles.tiebreak) if c in schema.fieldNames()]
     rows = (stream.withColumns({
                 "bronze_load_timestamp": F.current_timestamp(),
                 "bronze_source_file": F.col("_metadata.file_name"),
-                "bronze_record_id": F.xxhash64(*ident),
                 "event_ts": ts})
-            .filter(F.col("event_ts").isNotNull())
-            .withColumns({"data_coleta_parsed": F.to_date("event_ts"),
-                          "ano": F.year("event_ts"), "mes": F.month("event_ts")})
-            .withWatermark("event_ts", watermark)
-            .dropDuplicatesWithinWatermark([k for k in roles.key if k in schema.fieldNames()]))
-    w = (rows.writeStream.format("parquet").outputMode("append").partitionBy("ano", "mes")
-         .option("checkpointLocation", checkpoint).option("path", out))
+            .withColumns({"bronze_record_id": record_id(schema.fieldNames()),
+                          "data_coleta_parsed": F.to_date("event_ts"),
+                          "ano": F.year("event_ts"), "mes": F.month("event_ts")}))
+    root = checkpoint.rstrip("/")
+    bad = rejects or f"{out.rstrip('/')}_rejects"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(batch, batch_id, out.rstrip("/"), bad, f"{root}/merge", keys, tiebreak)
+
+    w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", root)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
