@@ -1,134 +1,82 @@
-"""Exact grouped quantiles (linear interpolation) without a per-group task.
-
-``percentile``/``median`` as a hash aggregate merges every distinct value of
-a group into one buffer in one task; a group holding a third of the table
-would not fit. Here the values are range-partitioned on (group, value), so a
-hot group spreads over many partitions; each row's rank inside its group is
-its position in the partition plus the number of the group's values in
-earlier partitions (a table of at most partitions x groups rows). The ranks
-needed for each quantile are then picked with an equi-join on (group, rank).
-
-``strategy="hash"`` uses the built-in ``percentile`` aggregate instead, which
-is fine when groups are known to be small.
-
-``strategy="approx"`` is the opt-in sketch (``percentile_approx``, bounded
-memory per group, approximate result); registered queries never use it.
-
-``strategy="auto"`` (default) splits by measured group size: groups with at
-most ``max_group`` values use the built-in exact ``percentile`` (its buffer is
-then bounded by ``max_group``), and only larger, hot groups take the
-range-partitioned path. Sizes come from one partial/final grouped count; the
-hot path runs only when such groups exist.
+"""Exact grouped quantiles (linear interpolation), one path for groups of any size.
+
+Rows become (group, value) counts first: a partial aggregate, so a value that a third of
+the rows share is one row per map task, and a hot group spreads by its values. Values are
+cut into segments with explicit bounds, ``STEPS`` to each doubling, whatever the data. From
+the number of rows per segment (a small table) follows which segment holds which rank; only
+those segments' values are put in order, each on its own, and the ranks are picked there.
+Nothing depends on partition numbers, on a measured size or on a setting.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_STRATEGY = os.environ.get("PRICELENS_QUANTILES", "auto")
-MAX_GROUP = int(os.environ.get("PRICELENS_QUANTILE_MAX_GROUP", "2000000"))
+#: Segments to a doubling of the value.
+STEPS = 64
+_SHIFT = 80_000   # above STEPS times the exponents of doubles
+
+
+def _segment(v: Column) -> Column:
+    """A number that grows with the value."""
+    size = F.abs(v)
+    step = F.floor(F.log2(size) * STEPS) + _SHIFT
+    edge = F.when(F.isnan(v), F.lit(3 * _SHIFT)).when(size == float("inf"), F.signum(v).cast("long") * 2 * _SHIFT)
+    return edge.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("long") * step).cast("long")
 
 
-def exact_quantiles(df: DataFrame, keys, specs: dict, strategy: str | None = None,
-                    max_group: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys, specs: dict) -> DataFrame:
     """specs = {out_name: (value_column, probability)} -> keys + out columns.
 
-    Null values are ignored; a group with no values gets no row.
+    Null values are ignored; a group with no values gets no row (without keys: a row of nulls).
     """
     keys = list(keys)
-    strategy = strategy or DEFAULT_STRATEGY
-    if strategy in ("hash", "approx"):
-        aggs = [_pct(c, p, strategy).alias(name) for name, (c, p) in specs.items()]
-        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-
     measures = sorted({c for c, _ in specs.values()})
-    stacked = (df.select(*keys, F.explode(F.array(*[
-                   F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v"))
-                   for m in measures])).alias("_s"))
-                 .select(*keys, "_s._m", "_s._v")
-                 .filter(F.col("_v").isNotNull()))
+    rows = (df.select(*keys, F.explode(F.array(*[
+                F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v")) for m in measures])).alias("_x"))
+            .select(*keys, "_x._m", "_x._v").filter(F.col("_v").isNotNull()))
     gk = keys + ["_m"]
-    names = list(specs)
-    if strategy == "auto":
-        limit = max_group or MAX_GROUP
-        hot = (stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") > limit).select(*gk))
-        if hot.isEmpty():
-            return _hashed_quantiles(stacked, keys, specs, measures)
-        cold = _hashed_quantiles(stacked.join(hot, gk, "left_anti"), keys, specs, measures)
-        warm = _sorted_quantiles(stacked.join(hot, gk, "left_semi"), keys, gk, specs, names)
-        # A group is hot for one measure and cold for another at most: take
-        # the non-null value per output column.
-        return (cold.unionByName(warm, allowMissingColumns=True)
-                    .groupBy(*keys).agg(*[F.max(n).alias(n) for n in names]))
-    return _sorted_quantiles(stacked, keys, gk, specs, names)
-
-
-def _hashed_quantiles(stacked: DataFrame, keys, specs: dict, measures) -> DataFrame:
-    """Built-in exact ``percentile`` per (group, measure), one column per spec."""
-    out = None
-    for m in measures:
-        mine = {n: p for n, (c, p) in specs.items() if c == m}
-        part = (stacked.filter(F.col("_m") == m).groupBy(*keys)
-                       .agg(*[F.percentile("_v", p).alias(n) for n, p in mine.items()]))
-        if out is None:
-            out = part
-        else:
-            out = out.join(part, keys, "full") if keys else _attach_global(out, part)
-    return out
-
-
-def _sorted_quantiles(stacked: DataFrame, keys, gk, specs: dict, names) -> DataFrame:
-    """Range-partitioned exact quantiles: rank = rows of the group in earlier
-    partitions + position inside this partition (rows are sorted by group and
-    value within each partition, so ids increase in value order)."""
-    srt = (stacked.repartitionByRange(*gk, "_v").sortWithinPartitions(*gk, "_v")
-                  .withColumn("_pid", F.spark_partition_id())
-                  .withColumn("_pos", F.monotonically_increasing_id()))
-    seg = srt.groupBy("_pid", *gk).agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    seg = (seg.withColumn("_off", F.sum("_c").over(Window.partitionBy(*gk).orderBy("_pid"))
-                          - F.col("_c")))
-    sizes = seg.groupBy(*gk).agg(F.sum("_c").alias("_n"))
-
-    spec_rows = F.array(*[F.struct(F.lit(name).alias("_out"), F.lit(c).alias("_m2"),
-                                   F.lit(float(p)).alias("_p"))
-                          for name, (c, p) in specs.items()])
-    targets = (sizes.select(*gk, "_n", F.explode(spec_rows).alias("_t"))
-                    .filter(F.col("_t._m2") == F.col("_m"))
-                    .select(*gk, F.col("_t._out").alias("_out"),
-                            ((F.col("_n") - 1) * F.col("_t._p")).alias("_h"))
-                    .withColumn("_lo", F.floor("_h").cast("long"))
-                    .withColumn("_hi", F.ceil("_h").cast("long")))
-    want = (targets.select(*gk, "_out", "_h", "_lo", "_hi", F.explode(F.array_distinct(
-                F.array(F.col("_lo"), F.col("_hi")))).alias("_r")))
-
-    ranked = (srt.join(seg.select("_pid", *gk, "_off", "_p0"), ["_pid", *gk])
-                 .select(*gk, "_v", (F.col("_off") + F.col("_pos") - F.col("_p0")).alias("_r")))
-    hit = ranked.join(want, gk + ["_r"])
-    q = (hit.groupBy(*keys, "_out")
-            .agg(F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-                 F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-                 F.first("_h").alias("_h"), F.first("_lo").alias("_lo"))
-            .withColumn("_d", F.col("_h") - F.col("_lo"))
-            # A midpoint is computed as (lo + hi) / 2, the correctly rounded
-            # value; other fractions interpolate lo + d * (hi - lo).
-            .withColumn("_q", F.when(F.col("_d") == 0.5, (F.col("_vlo") + F.col("_vhi")) * 0.5)
-                               .otherwise(F.col("_vlo") + F.col("_d") * (F.col("_vhi") - F.col("_vlo")))))
-    if keys:
-        return q.groupBy(*keys).pivot("_out", names).agg(F.first("_q"))
-    return q.groupBy().pivot("_out", names).agg(F.first("_q"))
+    counts = rows.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", _segment(F.col("_v")))
+    group = Window.partitionBy(*gk)
+    segments = (counts.groupBy(*gk, "_s").agg(F.sum("_c").alias("_n"))
+                .withColumn("_upto", F.sum("_n").over(group.orderBy("_s")))
+                .withColumn("_all", F.sum("_n").over(group)))
+    # every rank that an output needs, as far as it lies in the segment
+    needs = []
+    for name, (c, p) in specs.items():
+        at = (F.col("_all") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            needs.append(F.struct(F.lit(name).alias("out"), F.lit(side).alias("side"), F.lit(c).alias("m"),
+                                  rank.cast("long").alias("rank"), (at - F.floor(at)).alias("part")))
+    low = F.col("_upto") - F.col("_n")
+    wanted = (segments.withColumn("_need", F.filter(F.array(*needs), lambda x: (x["m"] == F.col("_m"))
+                                                    & (x["rank"] >= low) & (x["rank"] < F.col("_upto"))))
+              .filter(F.size("_need") > 0).select(*gk, "_s", low.alias("_low"), "_need"))
+    same = [F.col(f"c.`{k}`").eqNullSafe(F.col(f"w.`{k}`")) for k in [*gk, "_s"]]
+    found = (counts.alias("c").join(wanted.alias("w"), same)
+             .select(*[F.col(f"c.`{k}`").alias(k) for k in gk], "c._s", "c._v", "c._c", "w._low", "w._need")
+             .withColumn("_to", F.col("_low") + F.sum("_c").over(Window.partitionBy(*gk, "_s").orderBy("_v")))
+             .select(*keys, "_v", F.explode(F.filter("_need", lambda x: (x["rank"] < F.col("_to"))
+                                                     & (x["rank"] >= F.col("_to") - F.col("_c")))).alias("_x")))
+    out = []
+    for name in specs:
+        mine = F.col("_x.out") == name
+        lo = F.max(F.when(mine & (F.col("_x.side") == "lo"), F.col("_v")))
+        hi = F.max(F.when(mine & (F.col("_x.side") == "hi"), F.col("_v")))
+        part = F.max(F.when(mine, F.col("_x.part")))
+        # A midpoint is (lo + hi) / 2, the correctly rounded value; others lo + part * (hi - lo).
+        out.append(F.when(part == 0.5, (lo + hi) * 0.5).otherwise(lo + part * (hi - lo)).alias(name))
+    return found.groupBy(*keys).agg(*out)
 
 
 APPROX_ACCURACY = 10000
 
 
-def _pct(c: str, p: float, strategy: str):
-    if strategy == "approx":
-        return F.percentile_approx(F.col(c).cast("double"), p, APPROX_ACCURACY)
-    return F.percentile(F.col(c), p)
+def approx_quantiles(df: DataFrame, keys, specs: dict) -> DataFrame:
+    """The same columns from the built-in sketch (bounded memory, approximate)."""
+    return df.groupBy(*keys).agg(*[F.percentile_approx(F.col(c).cast("double"), p, APPROX_ACCURACY).alias(n)
+                                   for n, (c, p) in specs.items()])
 
 
 def distinct_count(c: str, approx: bool = False, rsd: float = 0.02):
@@ -136,47 +84,21 @@ def distinct_count(c: str, approx: bool = False, rsd: float = 0.02):
     return F.approx_count_distinct(F.col(c), rsd) if approx else F.count_distinct(F.col(c))
 
 
-def has_hot_groups(df: DataFrame, keys, columns, limit: int | None = None) -> bool:
-    """True when some group holds more than ``limit`` non-null values of a column
-    (one grouped count, partial aggregation map-side; a boolean reaches the driver)."""
-    limit = limit or MAX_GROUP
-    sizes = df.groupBy(*keys).agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
-    cond = None
-    for i in range(len(columns)):
-        c = F.col(f"_n{i}") > limit
-        cond = c if cond is None else (cond | c)
-    return not sizes.filter(cond).isEmpty()
-
-
-def agg_with_quantiles(df: DataFrame, keys, aggs: list, specs: dict,
-                       strategy: str | None = None, distinct_aggs: list | None = None) -> DataFrame:
-    """groupBy(keys).agg(aggs) plus exact quantiles ``specs``.
-
-    Without hot groups everything is one aggregation; otherwise the quantiles
-    come from ``exact_quantiles`` (hot groups on the range-partitioned path)
-    and are joined to the grouped statistics on the group key.
+def agg_with_quantiles(df: DataFrame, keys, aggs: list, specs: dict, distinct_aggs: list | None = None) -> DataFrame:
+    """groupBy(keys).agg(aggs) plus exact quantiles ``specs``, joined on the key.
     ``distinct_aggs`` (count_distinct ...) run as their own aggregate, joined
-    on the key: Spark's distinct rewrite expands rows, which is cheap alone but
-    costly next to quantile buffers.
+    on the key: Spark's distinct rewrite expands rows, which is cheap alone.
     """
     keys = list(keys)
+    out = df.groupBy(*keys).agg(*aggs)
     if distinct_aggs:
-        base = agg_with_quantiles(df, keys, aggs, specs, strategy)
-        return base.join(df.groupBy(*keys).agg(*distinct_aggs), keys, "left")
-    if not specs:
-        return df.groupBy(*keys).agg(*aggs)
-    strategy = strategy or DEFAULT_STRATEGY
-    cols = sorted({c for c, _ in specs.values()})
-    if strategy in ("hash", "approx") or (strategy == "auto" and not has_hot_groups(df, keys, cols)):
-        q = [_pct(c, p, strategy).alias(n) for n, (c, p) in specs.items()]
-        return df.groupBy(*keys).agg(*aggs, *q)
-    return with_quantiles(df.groupBy(*keys).agg(*aggs), df, keys, specs, strategy)
-
-
-def with_quantiles(agg: DataFrame, df: DataFrame, keys, specs: dict,
-                   strategy: str | None = None) -> DataFrame:
+        out = out.join(df.groupBy(*keys).agg(*distinct_aggs), keys, "left")
+    return with_quantiles(out, df, keys, specs) if specs else out
+
+
+def with_quantiles(agg: DataFrame, df: DataFrame, keys, specs: dict) -> DataFrame:
     """Attach exact quantiles of ``df`` by ``keys`` to the grouped frame ``agg``."""
-    q = exact_quantiles(df, keys, specs, strategy)
+    q = exact_quantiles(df, keys, specs)
     if not keys:
         return _attach_global(agg, q)
     return agg.join(q, list(keys), "left")

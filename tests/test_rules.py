@@ -120,15 +120,14 @@ def test_null_group_keys_dropped(spark):
     assert gold.price_volatility(df, r).count() == 1
 
 
-@pytest.mark.parametrize("strategy", ["sort", "hash"])
-def test_exact_quantiles_skewed_group(spark, strategy):
+def test_exact_quantiles_skewed_group(spark):
     rng = np.random.default_rng(7)
     hot = rng.lognormal(3, 1, 3000)          # one group holds most rows
     cold = rng.normal(10, 2, 40)
     rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in cold] + [("cold", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(7)
-    q = {x.g: x for x in exact_quantiles(df, ["g"], {"q25": ("v", 0.25), "med": ("v", 0.5), "q67": ("v", 0.67)},
-                                          strategy=strategy).collect()}
+    q = {x.g: x for x in exact_quantiles(df, ["g"], {"q25": ("v", 0.25), "med": ("v", 0.5),
+                                                    "q67": ("v", 0.67)}).collect()}
     for g, arr in [("hot", hot), ("cold", cold)]:
         for name, p in [("q25", 0.25), ("med", 0.5), ("q67", 0.67)]:
             assert getattr(q[g], name) == pytest.approx(float(np.quantile(arr, p)), rel=1e-12)
@@ -147,26 +146,47 @@ def test_rerun_leaves_counts_unchanged(spark, tmp_path_factory):
 
 
 def test_approx_opt_in_close_to_exact(spark):
-    from pricelens.functions.quantiles import distinct_count
+    from pricelens.functions.quantiles import approx_quantiles, distinct_count
     rng = np.random.default_rng(5)
     vals = rng.normal(100, 15, 20000)
     df = spark.createDataFrame([("g", float(v), int(i % 5000)) for i, v in enumerate(vals)], "g string, v double, k int")
-    q = exact_quantiles(df, ["g"], {"med": ("v", 0.5)}, strategy="approx").first()
+    q = approx_quantiles(df, ["g"], {"med": ("v", 0.5)}).first()
     assert abs(q.med - float(np.median(vals))) < 0.5
     assert abs(df.agg(distinct_count("k", approx=True)).first()[0] - 5000) < 250
     assert df.agg(distinct_count("k")).first()[0] == 5000
 
 
-def test_auto_quantiles_split_hot_and_cold_groups(spark):
+def test_quantiles_of_several_columns_and_of_all(spark):
     rng = np.random.default_rng(9)
-    hot, cold = rng.lognormal(2, 1, 2500), rng.normal(5, 1, 60)
-    rows = [("hot", float(v), float(v) * 2) for v in hot] + [("cold", float(v), float(v) * 2) for v in cold]
+    hot, cold = rng.lognormal(2, 1, 2500), rng.normal(0, 1, 60)
+    rows = [("hot", float(v), float(v) * 2) for v in hot] + [(None, float(v), -float(v)) for v in cold]
     df = spark.createDataFrame(rows, "g string, v double, w double").repartition(5)
-    specs = {"med": ("v", 0.5), "q25": ("v", 0.25), "wmed": ("w", 0.5)}
-    got = {r.g: r for r in exact_quantiles(df, ["g"], specs, strategy="auto", max_group=100).collect()}
-    for g, arr in [("hot", hot), ("cold", cold)]:
-        assert got[g].med == pytest.approx(float(np.quantile(arr, 0.5)), rel=1e-12)
-        assert got[g].q25 == pytest.approx(float(np.quantile(arr, 0.25)), rel=1e-12)
-        assert got[g].wmed == pytest.approx(float(np.quantile(arr * 2, 0.5)), rel=1e-12)
-    whole = exact_quantiles(df, [], {"med": ("v", 0.5)}, strategy="auto", max_group=100).first()
+    specs = {"med": ("v", 0.5), "q25": ("v", 0.25), "wmed": ("w", 0.5), "low": ("w", 0.0), "top": ("w", 1.0)}
+    got = {r.g: r for r in exact_quantiles(df, ["g"], specs).collect()}
+    for g, v, w in [("hot", hot, hot * 2), (None, cold, -cold)]:
+        for name, (c, p) in specs.items():
+            assert got[g][name] == pytest.approx(float(np.quantile(v if c == "v" else w, p)), rel=1e-12)
+    whole = exact_quantiles(df, [], {"med": ("v", 0.5)}).first()
     assert whole.med == pytest.approx(float(np.quantile(np.concatenate([hot, cold]), 0.5)), rel=1e-12)
+
+
+def test_segments_grow_with_the_values(spark):
+    from pricelens.functions.quantiles import _segment
+    values = [float("-inf"), -1e308, -5.0, -1.01, -1.0, -1e-300, -5e-324, 0.0, 5e-324, 1e-300, 0.5, 1.0, 1.01, 5.0, 1e308,
+              float("inf"), float("nan")]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(_segment(F.col("v"))).collect()]
+    assert got == sorted(got) and len(set(got)) >= len(got) - 2
+
+
+def test_one_value_in_a_third_of_the_rows(spark):
+    """The hot value reaches the shuffle as one row per map task."""
+    df = spark.range(90_000, numPartitions=6).selectExpr(
+        "'g' AS g", "IF(id % 3 = 0, 7.5, CAST(1 + (id * 7919) % 50021 AS DOUBLE)) AS v")
+    q = exact_quantiles(df, ["g"], {"med": ("v", 0.5), "p10": ("v", 0.1)})
+    vals = np.array([r["v"] for r in df.collect()])
+    got = q.first()
+    assert got.med == np.quantile(vals, 0.5) and got.p10 == pytest.approx(np.quantile(vals, 0.1), rel=1e-12)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan and "rangepartitioning" not in plan
+    counts = df.groupBy("g", "v").count().withColumn("p", F.expr("pmod(hash(g, v), 8)"))
+    assert max(r["n"] for r in counts.groupBy("p").agg(F.count("*").alias("n")).collect()) < 0.2 * counts.count()
