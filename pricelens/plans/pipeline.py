@@ -69,6 +69,12 @@ def add_technical_columns(df: DataFrame, roles: PanelRoles, load_ts=None, source
     }).withColumns({"ano": F.year("data_coleta_parsed"), "mes": F.month("data_coleta_parsed")})
 
 
+def timed_report(layer: str):
+    """A report maker for a job that starts now."""
+    t0 = time.time()
+    return lambda status, **kw: _report(layer, status, t0, **kw)
+
+
 def _report(layer, status, t0, **kw) -> dict:
     return {"layer": layer, "status": status, "seconds": round(time.time() - t0, 3), **kw}
 

@@ -14,6 +14,7 @@ from .. import config as C
 from ..config import STAR, silver_roles
 from ..operators import clean, enrich, normalize
 from ..sources.panel import PANEL_SQL, star_panel, table
+from . import silver_v1
 from . import sqlgen as S
 from .silver import STAR_STRING_COLS, silver_sql, star_silver
 
@@ -265,8 +266,41 @@ def q_silver_enrich(spark, d):
         "product_category", "brand_size", "pair_viable", "price_band")
 
 
+V1_COLUMNS = ["regiao_sigla", "estado_sigla", "municipio", "revenda", "cnpj_revenda", "cep", "produto", "data_coleta",
+              "valor_venda", "valor_compra", "categoria_produto", "categoria_bandeira", "region_consistent", "ano", "mes",
+              "margin_pct"]
+
+
+def star_v1(spark, d) -> silver_v1.V1Settings:
+    """v1 settings of the star panel; its state -> region dimension has 25 rows by schema."""
+    nat = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    regions = {r["n_name"]: r["r_name"] for r in nat.select("n_name", "r_name").collect()}
+    return silver_v1.V1Settings(price_range=STAR_PRICE_RANGE, cost_range=STAR_PRICE_RANGE, date_range=STAR_DATE_RANGE,
+                                regions=regions, product_rules=C.STAR_CATEGORY_RULES, brand_rules=STAR_BRAND_RULES_V1,
+                                code_lengths={"cnpj_revenda": 6, "cep": 8}, keep=tuple(KEY))
+
+
+def q_run_silver_v1(spark, d):
+    """The v1 Silver job's written rows."""
+    from ..session import scratch_path
+    from ..sources import files
+    out = scratch_path(spark, "silver-v1")
+    report = silver_v1.run_silver_v1(spark, dirty_raw_v1(star_panel(spark, d)), out, star_v1(spark, d))
+    if report["status"] != "completed":
+        raise RuntimeError(report["error"])
+    return files.read_layer(spark, out).select(*KEY, *V1_COLUMNS)
+
+
+def q_run_checks_v1(spark, d):
+    """Q17 on the dirty raw rows, standardised and enriched but not yet cleaned."""
+    s = star_v1(spark, d)
+    raw = silver_v1.standardize(dirty_raw_v1(star_panel(spark, d)), s)
+    df = enrich.categorize_product_v1(raw, "produto", "categoria_produto", rules=s.product_rules).drop(*KEY)
+    return silver_v1.run_checks_v1(df, s)
+
+
 QUERIES = {
-    "clean_text": q_clean_text, "clean_text_nullify": q_clean_text_nullify,
+    "run_silver_v1": q_run_silver_v1, "run_checks_v1": q_run_checks_v1, "clean_text": q_clean_text, "clean_text_nullify": q_clean_text_nullify,
     "positive_prices": q_positive_prices, "sigma_outlier_filter": q_sigma_outlier_filter,
     "valid_dates": q_valid_dates, "drop_all_null_rows": q_drop_all_null_rows,
     "standardize_columns": q_standardize_columns, "drop_missing_required": q_drop_missing_required,
@@ -304,7 +338,55 @@ def oracle() -> dict:
     sigma = ["p2 AS (SELECT * FROM panel WHERE price <= (SELECT avg(price) + 3.0 * stddev_samp(price) FROM panel))",
              "c2 AS (SELECT * FROM p2 WHERE cost <= (SELECT avg(cost) + 3.0 * stddev_samp(cost) FROM p2))"]
     v1cat = S.cascade("upper(produto)", C.FUEL_CATEGORY_RULES_V1, C.CATEGORY_DEFAULT, C.CATEGORY_V1_NULL)
+    def nul(c):
+        return (f"CASE WHEN upper(trim({c})) IN {S.in_list(C.NULL_TEXT_TOKENS)} THEN NULL ELSE upper(trim({c})) END AS {c}")
+
+    def code(c, n):
+        digits = f"regexp_replace({c}, '[^0-9]', '', 'g')"
+        return f"CASE WHEN length({digits}) = {n} THEN {digits} END AS {c}"
+
+    lo, hi = STAR_PRICE_RANGE
+    v1_cols = [c for c in C.FUEL_V1_RENAME.values()]
+    v1 = [f"""v1_clean AS (SELECT * REPLACE ({", ".join(nul(c) for c in [*C.FUEL_V1_TEXT_COLUMNS, "regiao_sigla", "estado_sigla"])},
+        {code("cnpj_revenda", 6)}, {code("cep", 8)},
+        CASE WHEN valor_venda BETWEEN {lo!r} AND {hi!r} THEN valor_venda END AS valor_venda,
+        CASE WHEN valor_compra BETWEEN {lo!r} AND {hi!r} THEN valor_compra END AS valor_compra,
+        CASE WHEN data_coleta BETWEEN DATE '{STAR_DATE_RANGE[0]}' AND DATE '{STAR_DATE_RANGE[1]}' THEN data_coleta END AS data_coleta)
+      FROM std WHERE NOT ({" AND ".join(f"{c} IS NULL" for c in v1_cols)}))""",
+          f"""v1_rich AS (SELECT c.* REPLACE (COALESCE(m.r_name, c.regiao_sigla) AS regiao_sigla),
+        {S.cascade("upper(produto)", C.STAR_CATEGORY_RULES, C.CATEGORY_DEFAULT, C.CATEGORY_V1_NULL)} AS categoria_produto,
+        {S.cascade("upper(bandeira)", STAR_BRAND_RULES_V1, C.BRAND_CATEGORY_V1_DEFAULT, C.BRAND_CATEGORY_V1_NULL)} AS categoria_bandeira,
+        COALESCE(c.regiao_sigla = m.r_name, false) AS region_consistent,
+        CAST(year(data_coleta) AS INTEGER) AS ano, CAST(month(data_coleta) AS INTEGER) AS mes,
+        {S.r("(valor_venda - valor_compra) / NULLIF(valor_compra, 0) * 100.0", 2)} AS margin_pct
+      FROM v1_clean c LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) m
+        ON c.estado_sigla = m.n_name)""",
+          f"""v1_silver AS (SELECT * FROM v1_rich WHERE {" AND ".join(f"{c} IS NOT NULL" for c in C.FUEL_V1_REQUIRED)}
+        QUALIFY row_number() OVER (PARTITION BY {", ".join(C.FUEL_V1_KEY)}
+          ORDER BY {", ".join(f"{c} DESC NULLS LAST" for c in [*KEY, *silver_v1.TIES])}) = 1)"""]
+    n_null = " + ".join(f"count_if({c} IS NULL)" for c in v1_cols)   # the category is never null
+    price_bad = " + ".join([f"count_if({c} IS NULL OR {c} < {lo!r} OR {c} > {hi!r})" for c in ("valor_venda", "valor_compra")]
+                           + ["count_if(valor_venda <= valor_compra)"])
+
+    def fences(c):
+        return (f"""SELECT count_if(v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) / count(*) AS rate FROM
+          (SELECT {c} AS v, quantile_cont({c}, 0.25) OVER () AS q1, quantile_cont({c}, 0.75) OVER () AS q3 FROM std WHERE {c} IS NOT NULL)""")
+    required = " OR ".join(f"count_if({c} IS NULL) > 0" for c in C.FUEL_V1_REQUIRED if c != "categoria_produto")
+    complete = f"1.0 - ({n_null}) / (count(*) * {float(len(v1_cols) + 1)!r})"
     return {
+        "run_silver_v1": _panel_sql(f"SELECT {KEYS}, {', '.join(V1_COLUMNS)} FROM v1_silver", *DIRTY_V1_SQL, std, *v1),
+        "run_checks_v1": _panel_sql(f"""SELECT 'completeness' AS "check", {complete} AS value, {complete} >= {C.V1_MIN_COMPLETENESS!r} AS passed FROM std
+          UNION ALL SELECT 'critical_fields', CAST({required} AS INTEGER), NOT ({required}) FROM std
+          UNION ALL SELECT 'duplicates', 1.0 - count(*) / sum(n), 1.0 - count(*) / sum(n) <= {C.V1_MAX_DUPLICATE_RATE!r}
+            FROM (SELECT count(*) AS n FROM std GROUP BY {", ".join(v1_cols)})
+          UNION ALL SELECT 'prices', {price_bad}, ({price_bad}) = 0 FROM std
+          UNION ALL SELECT 'dates', count_if(data_coleta IS NULL) + n, count_if(data_coleta IS NULL) + n = 0 FROM std,
+            (SELECT count_if(data_coleta < DATE '{STAR_DATE_RANGE[0]}' OR data_coleta > DATE '{STAR_DATE_RANGE[1]}') AS n FROM std) GROUP BY n
+          UNION ALL SELECT 'geography', sum(n), sum(n) = 0 FROM (
+            SELECT count_if(COALESCE(regiao_sigla NOT IN (SELECT r_name FROM region), true)) AS n FROM std
+            UNION ALL SELECT count_if(COALESCE(estado_sigla NOT IN (SELECT n_name FROM nation), true)) FROM std)
+          UNION ALL SELECT 'outliers', avg(rate), avg(rate) <= {C.V1_MAX_OUTLIER_RATE!r}
+            FROM ({fences("valor_venda")} UNION ALL {fences("valor_compra")})""", *DIRTY_V1_SQL, std),
         "clean_text": _panel_sql(f"SELECT {KEYS}, {txt} FROM panel"),
         "clean_text_nullify": _panel_sql(f"SELECT {KEYS}, {nullify} FROM dirty", DIRTY_SQL),
         "positive_prices": _panel_sql(f"SELECT {KEYS}, price, cost FROM dirty WHERE price > 0 AND cost > 0", DIRTY_SQL),
