@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 PATTERN = r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens are taken, and ids decoded, in blocks of so many.
 BLOCK = 1 << 16
-#: Words whose ids are remembered; beyond that the cache starts anew.
-CACHE = 800_000
+#: Words whose ids are remembered in each of two generations; when the younger one is
+#: full it becomes the older one, whose words return to the younger one with their next use.
+CACHE = 200_000
 #: Longer pre-tokens aren't remembered.
 CACHED_LENGTH = 64
 #: The rank of a pair that doesn't merge.
@@ -101,6 +102,7 @@ class Transducer:
         by_length = sorted(added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if added else None
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Token ids of a window of bytes: the pair of least rank first, leftmost first."""
@@ -154,26 +156,34 @@ class Transducer:
         yield self.merge(data[at:])
 
     def _packed(self, piece: str) -> bytes:
-        out = b"".join([self.packed[i] for ids in self.piece(piece.encode()) for i in ids])
+        out = self.older.get(piece)
+        if out is None:
+            out = b"".join([self.packed[i] for ids in self.piece(piece.encode()) for i in ids])
         if len(piece) <= CACHED_LENGTH:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
             self.cache[piece] = out
         return out
 
+    def _age(self) -> None:
+        if len(self.cache) >= CACHE:
+            self.cache, self.older = {}, self.cache
+
     def encode(self, text: str) -> Iterator[bytes]:
         """Blocks of ids as little-endian unsigned 32-bit integers."""
-        cache, packed = self.cache, self._packed
+        packed = self._packed
         parts = self.special.split(text) if self.special and any(t in text for t in self.added) else [text]
         for k, part in enumerate(parts):
             if k % 2:
                 yield self.added[part]
                 continue
             if len(part) <= BLOCK:
+                self._age()
+                cache = self.cache
                 yield b"".join([cache.get(p) or packed(p) for p in self.pieces.findall(part)])
                 continue
             found = (m[0] for m in self.pieces.finditer(part))
             while some := list(islice(found, BLOCK)):
+                self._age()
+                cache = self.cache
                 yield b"".join([cache.get(p) or packed(p) for p in some])
 
     def decode(self, blocks: Iterable[bytes]) -> Iterator[str]:

@@ -35,7 +35,9 @@ from pyspark.sql import Window as W
 UNKNOWN = "und"
 DOCS, PIECES, PIECE_CHARS, LEXICON, MAX_LANGUAGES = 400, 3, 600, 1000, 256
 HASHES, STEPS, RATE, DECAY = 1 << 15, 60, 0.1, 1e-4
-SEGMENT, BATCH_WORDS, CACHE = 32, 400_000, 800_000
+SEGMENT, BATCH_WORDS = 32, 400_000
+#: Remembered words: as they stand in texts, and bare with their weights.
+CACHE_FORMS, CACHE_WORDS = 250_000, 400_000
 MIN_SCORE = 0.4
 
 
@@ -88,10 +90,12 @@ class Field:
 
     def number(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
         """Rows of ``table`` for the labelled words of each text, and the table: exp of the
-        emissions, scaled to 1 at most. Words are remembered until the cache is full."""
-        if len(self.numbers) > CACHE or not self.numbers:
+        emissions, scaled to 1 at most. Words are remembered until a cache is full."""
+        if not self.numbers or len(self.known) > CACHE_WORDS:
             self.numbers, self.known, self.table = {"": -1}, {"": -1}, np.empty((1024, len(self.labels)), np.float32)
             self.filled = 0
+        elif len(self.numbers) > CACHE_FORMS:
+            self.numbers = {"": -1}
         numbers, known, new, out = self.numbers, self.known, [], []
         for text in texts:
             found = (text or "").split()
