@@ -26,3 +26,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Words of a text (null and blank texts: an empty array), JVM-side."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+
+
+def sampled(df: DataFrame, key: str, size: int, rows: int) -> DataFrame:
+    """About ``size`` of the ``rows`` rows, chosen by the hash of ``key`` where they are, so
+    that a task sends no more than its share. At most ``2 * size`` rows are all taken."""
+    if rows <= 2 * size:
+        return df
+    return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) < int(size / rows * (1 << 40)))

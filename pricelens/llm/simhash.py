@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import sampled, stored
 from .components import components, local_stars
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-#: Points the tree is fitted on at most; aimed points of a shard; points compared with each other.
+#: Points the tree is fitted on, about; aimed points of a shard; points compared with each other.
 SAMPLE, SHARD, LEAF = 1 << 15, 1 << 14, 256
 _BLOCK = 1 << 15
 
@@ -130,12 +130,12 @@ def near_pairs(points: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tu
             yield a[i[keep]], p[k + j[keep]]
 
 
-def links(points: DataFrame, radius: int = RADIUS, stars: bool = False) -> DataFrame:
+def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: int = SHARD) -> DataFrame:
     """(a, b) of all pairs within the radius among distinct non-null longs ``fp``; with
     ``stars`` a shard's pairs are replaced by fewer ones of the same components."""
     spark, rows = points.sparkSession, points.count()
-    sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"]
-    tree = Tree(sample.to_numpy(np.int64).view(np.uint64), rows, radius)
+    sample = sampled(points.select("fp"), "fp", SAMPLE, rows).toPandas()["fp"].sort_values()
+    tree = Tree(np.random.default_rng(SEED).permutation(sample.to_numpy(np.int64).view(np.uint64)), rows, radius, shard)
     tree_b = spark.sparkContext.broadcast(tree)  # two nodes a shard at most, fitted on SAMPLE points
 
     def route(batches):
