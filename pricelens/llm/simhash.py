@@ -33,7 +33,10 @@ from .components import components, local_stars
 SHINGLE, RADIUS, SEED = 3, 2, 42
 #: Points the tree is fitted on, about; aimed points of a shard; points compared with each other.
 SAMPLE, SHARD, LEAF = 1 << 15, 1 << 14, 256
-_BLOCK = 1 << 15
+#: A split whose sides together hold more than so many times the points isn't made: in a
+#: dense cloud they would both hold most of it, again and again.
+OVERLAP = 1.4
+_BLOCK, _PAIRS = 1 << 15, 1 << 20
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -72,6 +75,14 @@ def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def halves(points: np.ndarray, v: np.uint64, radius: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The median distance from a vantage point, the points up to it, and those that lie
+    beyond it or close enough to it to have a partner there."""
+    d = np.bitwise_count(points ^ v).astype(np.int64)
+    m = int(np.median(d))
+    return m, points[d <= m], points[d > m - radius]
+
+
 class Tree:
     """The inner nodes of a vantage-point tree: (vantage, bound, left, right); a child
     below zero is the shard of number -1 - child."""
@@ -82,15 +93,13 @@ class Tree:
 
     def _split(self, points: np.ndarray, weight: float, shard: int) -> int:
         if len(points) >= 32 and len(points) * weight > shard:
-            v = points[0]
-            d = np.bitwise_count(points ^ v)
-            m = int(np.median(d))
-            left, right = points[d <= m], points[d > m - self.radius]
-            if len(left) < len(points) and len(right) < len(points):
-                at = len(self.nodes)
-                self.nodes.append(None)
-                self.nodes[at] = (v, m, self._split(left, weight, shard), self._split(right, weight, shard))
-                return at
+            for v in points[:8]:
+                m, left, right = halves(points, v, self.radius)
+                if len(left) + len(right) <= OVERLAP * len(points):
+                    at = len(self.nodes)
+                    self.nodes.append(None)
+                    self.nodes[at] = (v, m, self._split(left, weight, shard), self._split(right, weight, shard))
+                    return at
         self.shards += 1
         return -self.shards
 
@@ -116,11 +125,8 @@ def near_pairs(points: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tu
     while todo:
         p = todo.pop()
         if len(p) > leaf:
-            v = p[len(p) // 2]
-            d = np.bitwise_count(p ^ v).astype(np.int64)
-            m = int(np.median(d))
-            left, right = p[d <= m], p[d > m - radius]
-            if max(len(left), len(right)) < 0.9 * len(p):
+            _, left, right = halves(p, p[len(p) // 2], radius)
+            if max(len(left), len(right)) < 0.9 * len(p) and len(left) + len(right) <= OVERLAP * len(p):
                 todo += [left, right]
                 continue
         for k in range(0, len(p), leaf):
@@ -141,17 +147,24 @@ def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: i
     def route(batches):
         for batch in batches:
             fps = batch["fp"].to_numpy(np.int64)
-            for shard, at in tree_b.value.route(fps.view(np.uint64)):
-                yield pd.DataFrame({"shard": np.full(len(at), shard, np.int32), "fp": fps[at]})
-
-    def pairs(shard: pd.DataFrame) -> pd.DataFrame:
-        found = list(near_pairs(np.sort(shard["fp"].to_numpy(np.int64).view(np.uint64)), radius))
-        a = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.uint64)
-        b = np.concatenate([x for _, x in found]) if found else np.empty(0, np.uint64)
-        a, b = a.view(np.int64), b.view(np.int64)
-        if stars and len(a):
-            a, b = local_stars(a, b)
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+            for number, at in tree_b.value.route(fps.view(np.uint64)):
+                yield pd.DataFrame({"shard": np.full(len(at), number, np.int32), "fp": fps[at]})
+
+    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+        a, b, found, n = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+        def merged():
+            x, y = (np.concatenate([old, *new]).astype(np.int64) for old, new in zip((a, b), zip(*found, strict=True), strict=True))
+            return local_stars(x, y) if stars else np.unique(np.stack((x, y)), axis=1)
+
+        for x, y in near_pairs(np.sort(group["fp"].to_numpy(np.int64).view(np.uint64)), radius):
+            found.append((x.view(np.int64), y.view(np.int64)))
+            n += len(x)
+            if n > _PAIRS:  # of a dense cloud: as few links as say the same, before more come
+                (a, b), found, n = merged(), [], 0
+        if n:
+            a, b = merged()
+        return pd.DataFrame({"a": a, "b": b})
 
     shards = points.select("fp").mapInPandas(route, "shard int, fp long")
     return shards.groupBy("shard").applyInPandas(pairs, "a long, b long")
