@@ -29,11 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sampled, stored
 from .components import components, local_stars
 
 THRESHOLD = 0.95
-#: Sampled points, cells and points of a block at most (a block about).
+#: Sampled points (about), cells (at most) and points of a block (about).
 SAMPLE, CELLS, BLOCK = 4096, 256, 8192
 COARSEST, FINEST = 1.0, 1 / 32
 _EPS, _CHUNK = 1e-9, 1024
@@ -77,32 +77,36 @@ def net(x: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
     return np.array(centres, np.int64), owner
 
 
+def cover(x: np.ndarray, coarsest: float = COARSEST, finest: float = FINEST) -> np.ndarray:
+    """For each row of unit vectors the rows of its centres at levels of halving radii, a
+    column a level; the rows of a centre at one level share their centre at the level above."""
+    parts, radius, paths = [np.arange(len(x))], coarsest, []
+    while radius >= finest:
+        path, groups = np.empty(len(x), np.int64), []
+        for rows in parts:
+            if len(rows) == 1:
+                path[rows] = rows
+                groups.append(rows)
+                continue
+            _, owner = net(x[rows], radius)
+            path[rows] = rows[owner]
+            by = np.argsort(owner, kind="stable")
+            groups += [rows[g] for g in np.split(by, np.flatnonzero(np.diff(owner[by])) + 1)]
+        paths.append(path)
+        parts, radius = groups, radius / 2
+    return np.stack(paths, axis=1)
+
+
 class CoverTree:
     """Nested levels over rows of unit vectors. ``levels[k]`` holds a node's centre row, its
     covering radius, its weight, and its children as a range of the next level's nodes; the
-    last level's nodes are single points."""
-
-    def __init__(self, x: np.ndarray, weights: np.ndarray, coarsest: float = COARSEST, finest: float = FINEST):
-        order = np.arange(len(x))
-        parts, radius = [order], coarsest  # groups of rows that share a node
-        paths = []
-        while radius >= finest:
-            paths_now, groups = np.empty(len(x), np.int64), []
-            for rows in parts:
-                if len(rows) == 1:
-                    paths_now[rows] = rows
-                    groups.append(rows)
-                    continue
-                centres, owner = net(x[rows], radius)
-                paths_now[rows] = rows[owner]
-                by = np.argsort(owner, kind="stable")
-                cuts = np.flatnonzero(np.diff(owner[by])) + 1
-                groups += [rows[g] for g in np.split(by, cuts)]
-            paths.append(paths_now)
-            parts, radius = groups, radius / 2
-        paths.append(order)
+    last level's nodes are single points. ``paths`` is what ``cover`` returns."""
+
+    def __init__(self, x: np.ndarray, weights: np.ndarray, paths: np.ndarray | None = None):
+        paths = cover(x) if paths is None else paths
+        paths = [*paths.T, np.arange(len(x))]
         # rows in an order in which each node's rows stand together at every level
-        self.rows = np.concatenate(parts) if len(x) else order
+        self.rows = np.lexsort(paths[::-1])
         self.x, self.weights, self.levels = x[self.rows], weights[self.rows], []
         starts = None
         for path in reversed(paths):
@@ -116,7 +120,7 @@ class CoverTree:
                      "weight": np.add.reduceat(self.weights, first) if len(p) else self.weights,
                      "child": None if starts is None else np.searchsorted(starts, first),
                      "child_end": None if starts is None else np.searchsorted(starts, last)}
-            level["radius"] = level["radius"] if starts is not None else np.zeros(len(first))
+            level["radius"] = np.where(last - first > 1, level["radius"], 0.0)  # a lone row is its centre
             self.levels.insert(0, level)
             starts = first
 
@@ -128,13 +132,20 @@ def traverse(a: CoverTree, b: CoverTree, threshold: float, same: bool):
     into_a, into_b = np.zeros(len(a.x)), np.zeros(len(b.x))
     links = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     top_a, top_b = a.levels[0], b.levels[0]
-    found = []
-    for k in range(0, len(top_a["first"]), _CHUNK):
-        d = distances(top_a["centre"][k : k + _CHUNK], top_b["centre"])
-        i, j = np.nonzero(d - top_a["radius"][k : k + _CHUNK, None] - top_b["radius"][None, :] <= r + _EPS)
-        i += k
-        found.append((i[i <= j], j[i <= j]) if same else (i, j))
-    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+    found = [(np.empty(0, np.int64),) * 2]
+    fa, fb = top_a["centre"].astype(np.float32), top_b["centre"].astype(np.float32)
+    # single points, narrow and wide balls apart: a wide ball would loosen the bound for all
+    kind = np.digitize(top_b["radius"], (1e-12, r))
+    for group in (np.flatnonzero(kind == k) for k in range(3)):
+        if not len(group):
+            continue
+        far = np.minimum(2.0, r + top_a["radius"] + top_b["radius"][group].max() + 1e-4)
+        least = (1 - far * far / 2 - 1e-5).astype(np.float32)  # of a dot product, with room for single precision
+        for k in range(0, len(fa), _CHUNK):
+            i, j = np.nonzero(fa[k : k + _CHUNK] @ fb[group].T >= least[k : k + _CHUNK, None])
+            i, j = i + k, group[j]
+            found.append((i[i <= j], j[i <= j]) if same else (i, j))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     for depth, (la, lb) in enumerate(zip(a.levels, b.levels, strict=True)):
         if depth == len(a.levels) - 1:
             break
@@ -192,8 +203,7 @@ def _points(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _cells(points: DataFrame) -> np.ndarray:
     """Centres of the lowest level of a cover tree over a sample that has few enough."""
-    sample = points.orderBy(F.xxhash64("pid"), "pid").limit(SAMPLE).select("vec").toPandas()["vec"]
-    x = unit(list(sample))
+    x = unit(list(sampled(points, "vec", SAMPLE, points.count()).select("vec").toPandas()["vec"]))
     centres, radius = x[:1], COARSEST
     while radius >= FINEST:
         chosen, _ = net(x, radius)
@@ -227,28 +237,39 @@ def _pairs_of_length(points: DataFrame, threshold: float) -> DataFrame:
     near = apart <= math.sqrt(2 - 2 * threshold) + _EPS
     plan = context.broadcast((blocks, first, near))
 
-    def deal(batches):
-        blocks, first, near = plan.value
+    vec = "vec " + points.schema["vec"].dataType.simpleString()
+
+    def number(batches):
+        blocks, first, _ = plan.value
         for batch in batches:
             cell = batch["cell"].to_numpy()
-            block = first[cell] + (batch["hash"].to_numpy().view(np.uint64) % blocks[cell].astype(np.uint64)).astype(np.int64)
-            for c in np.unique(cell):
-                rows = batch[cell == c]
-                mine = block[cell == c]
+            part = batch["hash"].to_numpy().view(np.uint64) % blocks[cell].astype(np.uint64)
+            yield batch.drop(columns="hash").assign(block=first[cell] + part.astype(np.int64))
+
+    def grow(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("pid", ignore_index=True)
+        return block.assign(path=list(cover(unit(list(block["vec"]))).astype(np.int32)))
+
+    numbered = placed.select("pid", "vec", "n", "cell", F.xxhash64("pid", F.lit(1)).alias("hash")).mapInPandas(
+        number, f"pid long, {vec}, n long, cell int, block long")
+    grown = stored(numbered.groupBy("block").applyInPandas(
+        grow, f"pid long, {vec}, n long, cell int, block long, path array<int>"), "cover_trees")
+
+    def deal(batches):
+        _, first, near = plan.value
+        for batch in batches:
+            for c, rows in batch.groupby("cell"):
+                mine = rows["block"].to_numpy()
                 for other in np.flatnonzero(near[c]):
                     for b in range(first[other], first[other + 1]):
-                        yield pd.DataFrame({"p": np.minimum(mine, b), "q": np.maximum(mine, b), "block": mine,
-                                            "pid": rows["pid"], "vec": rows["vec"], "n": rows["n"]})
+                        yield rows.drop(columns="cell").assign(p=np.minimum(mine, b), q=np.maximum(mine, b))
 
-    dealt = placed.select("pid", "vec", "n", "cell", F.xxhash64("pid", F.lit(1)).alias("hash")).mapInPandas(
-        deal, "p long, q long, block long, pid long, vec " + points.schema["vec"].dataType.simpleString() + ", n long")
+    dealt = grown.mapInPandas(deal, f"pid long, {vec}, n long, block long, path array<int>, p long, q long")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         p, q = group["p"].iloc[0], group["q"].iloc[0]
-        parts = [group[group["block"] == k].drop_duplicates("pid") for k in ((p,) if p == q else (p, q))]
-        if any(part.empty for part in parts):
-            return pd.DataFrame({"a": [], "b": [], "n": []})
-        trees = [CoverTree(unit(list(x["vec"])), x["n"].to_numpy(np.float64)) for x in parts]
+        parts = [group[group["block"] == k].sort_values("pid") for k in ((p,) if p == q else (p, q))]
+        trees = [CoverTree(unit(list(x["vec"])), x["n"].to_numpy(np.float64), np.stack(list(x["path"]))) for x in parts]
         pids = [x["pid"].to_numpy()[t.rows] for x, t in zip(parts, trees, strict=True)]
         into_a, into_b, i, j = traverse(trees[0], trees[-1], threshold, p == q)
         counts = [(pids[0], into_a)] + ([(pids[0], into_b)] if p == q else [(pids[1], into_b)])
