@@ -35,7 +35,7 @@ PATTERN = r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 BLOCK = 1 << 16
 #: Words whose ids are remembered in each of two generations; when the younger one is
 #: full it becomes the older one, whose words return to the younger one with their next use.
-CACHE = 200_000
+CACHE = 150_000
 #: Longer pre-tokens aren't remembered.
 CACHED_LENGTH = 64
 #: The rank of a pair that doesn't merge.

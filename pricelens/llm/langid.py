@@ -37,7 +37,7 @@ DOCS, PIECES, PIECE_CHARS, LEXICON, MAX_LANGUAGES = 400, 3, 600, 1000, 256
 HASHES, STEPS, RATE, DECAY = 1 << 15, 60, 0.1, 1e-4
 SEGMENT, BATCH_WORDS = 32, 400_000
 #: Remembered words: as they stand in texts, and bare with their weights.
-CACHE_FORMS, CACHE_WORDS = 250_000, 400_000
+CACHE_FORMS, CACHE_WORDS = 150_000, 250_000
 MIN_SCORE = 0.4
 
 
