@@ -32,7 +32,7 @@ _DIGITS, _BITS = 3, 12  # of the rounding bound
 
 def n_words() -> Column:
     """Number of words of the column ``__text``."""
-    bare = F.expr("trim(BOTH ' \\t\\n\\u000b\\f\\r' FROM __text)")
+    bare = F.expr("trim(BOTH ' \\t\\n\\u000b\\u000c\\r' FROM __text)")
     return F.when(F.length(bare) > 0, F.size(F.split(bare, SPACE))).otherwise(0).cast("long")
 
 

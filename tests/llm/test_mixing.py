@@ -73,3 +73,11 @@ def test_apply_and_empty(spark):
     assert out.columns == df.columns and out.where("source = 's'").count() == 60
     assert [r["copies"] for r in out.where("source IS NULL").collect()] == ["y"]
     assert M.apply(df.limit(0)).collect() == []
+
+
+def test_words_next_to_each_separator_and_f(spark):
+    texts = [None, "", "f", "fff", "a f", "fff foo", "f\x0cf"]
+    texts += [t for s in " \t\n\x0b\x0c\r" for t in (s, s + "one two", "one two" + s, f"f{s}of", f"{s}f one f{s}")]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, __text string")
+    got = {r["k"]: r["n"] for r in df.select("k", M.n_words().alias("n")).collect() if r["n"] is not None}
+    assert [got.get(k) for k in range(len(texts))] == [len((t or "").encode().split()) for t in texts]
