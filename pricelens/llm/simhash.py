@@ -6,8 +6,10 @@ over a bounded sample splits the points into shards: a node sends a point left i
 distance to the vantage point is at most the median, else right. Two points within the
 radius differ by at most the radius in that distance, so only left points close to the
 boundary go to the right shard too, and every pair within the radius meets in a shard.
-A shard splits further in the same way on its own points before it compares, and the
-pairs found are all and only those within the radius.
+A shard of too many points, as a dense cloud makes one that no split thins out, is cut
+into blocks by hash whose pairs are compared in separate tasks. Points of a task split
+further in the same way before they are compared, and the pairs found are all and only
+those within the radius.
 
 Defined results: a null text is an empty text; a text without words has fingerprint
 zero and links like any other; a text shorter than a shingle is one shingle. The
@@ -36,7 +38,7 @@ SAMPLE, SHARD, LEAF = 1 << 15, 1 << 14, 256
 #: A split whose sides together hold more than so many times the points isn't made: in a
 #: dense cloud they would both hold most of it, again and again.
 OVERLAP = 1.4
-_BLOCK, _PAIRS = 1 << 15, 1 << 20
+_BLOCK, _PAIRS, _WIDE = 1 << 15, 1 << 20, 1 << 12
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -119,26 +121,41 @@ class Tree:
             todo.append((right, at[d.astype(np.int64) > m - self.radius]))
 
 
-def near_pairs(points: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of distinct points within the radius, some of them more than once."""
-    todo = [points]
+def near_pairs(points: np.ndarray, radius: int, leaf: int = LEAF,
+               others: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of distinct points within the radius, some of them more than once; with
+    ``others`` only pairs of a point and one of the others."""
+    todo = [(points, others)]
     while todo:
-        p = todo.pop()
-        if len(p) > leaf:
-            _, left, right = halves(p, p[len(p) // 2], radius)
-            if max(len(left), len(right)) < 0.9 * len(p) and len(left) + len(right) <= OVERLAP * len(p):
-                todo += [left, right]
+        p, q = todo.pop()
+        both = p if q is None else np.concatenate((p, q))
+        if len(both) > leaf:
+            v = both[len(both) // 2]
+            _, left, right = halves(both, v, radius)
+            if max(len(left), len(right)) < 0.9 * len(both) and len(left) + len(right) <= OVERLAP * len(both):
+                if q is None:
+                    todo += [(left, None), (right, None)]
+                    continue
+                for side in (left, right):
+                    of_q = np.isin(side, q)
+                    if of_q.any() and not of_q.all():
+                        todo.append((side[~of_q], side[of_q]))
                 continue
         for k in range(0, len(p), leaf):
             a = p[k : k + leaf]
-            i, j = np.nonzero(np.bitwise_count(a[:, None] ^ p[None, k:]) <= radius)
-            keep = j > i
-            yield a[i[keep]], p[k + j[keep]]
-
-
-def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: int = SHARD) -> DataFrame:
-    """(a, b) of all pairs within the radius among distinct non-null longs ``fp``; with
-    ``stars`` a shard's pairs are replaced by fewer ones of the same components."""
+            for start in range(k if q is None else 0, len(p if q is None else q), _WIDE):
+                b = (p if q is None else q)[start : start + _WIDE]
+                i, j = np.nonzero(np.bitwise_count(a[:, None] ^ b[None]) <= radius)
+                if q is None:
+                    keep = j + start > i + k
+                    i, j = i[keep], j[keep]
+                yield a[i], b[j]
+
+
+def dealt(points: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """(shard, p, q, block, fp): what each task compares. A shard of more than ``shard``
+    points, as a dense cloud makes one, is cut into blocks of about that many by hash, and
+    every pair (p, q) of its blocks is a group of its own; other shards are one block."""
     spark, rows = points.sparkSession, points.count()
     sample = sampled(points.select("fp"), "fp", SAMPLE, rows).toPandas()["fp"].sort_values()
     tree = Tree(np.random.default_rng(SEED).permutation(sample.to_numpy(np.int64).view(np.uint64)), rows, radius, shard)
@@ -150,6 +167,28 @@ def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: i
             for number, at in tree_b.value.route(fps.view(np.uint64)):
                 yield pd.DataFrame({"shard": np.full(len(at), number, np.int32), "fp": fps[at]})
 
+    shards = stored(points.select("fp").mapInPandas(route, "shard int, fp long"), "shards")
+    seen = shards.groupBy("shard").agg(F.count("*").alias("n")).toPandas()  # a row a shard
+    blocks = np.ones(tree.shards, np.int64)
+    blocks[seen["shard"]] = -(-seen["n"] // shard)
+    blocks_b = spark.sparkContext.broadcast(blocks)
+
+    def deal(batches):
+        for batch in batches:
+            many = blocks_b.value[batch["shard"]]
+            mine = (batch["hash"].to_numpy(np.int64).view(np.uint64) % many.astype(np.uint64)).astype(np.int32)
+            rows = batch[["shard", "fp"]].assign(block=mine)
+            for other in range(int(many.max(initial=0))):
+                some, at = rows[many > other], mine[many > other]
+                yield some.assign(p=np.minimum(at, np.int32(other)), q=np.maximum(at, np.int32(other)))
+
+    hashed = shards.select("shard", "fp", F.xxhash64("fp", F.lit("block")).alias("hash"))
+    return hashed.mapInPandas(deal, "shard int, fp long, block int, p int, q int")
+
+
+def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: int = SHARD) -> DataFrame:
+    """(a, b) of all pairs within the radius among distinct non-null longs ``fp``; with
+    ``stars`` a shard's pairs are replaced by fewer ones of the same components."""
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         a, b, found, n = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
 
@@ -157,7 +196,9 @@ def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: i
             x, y = (np.concatenate([old, *new]).astype(np.int64) for old, new in zip((a, b), zip(*found, strict=True), strict=True))
             return local_stars(x, y) if stars else np.unique(np.stack((x, y)), axis=1)
 
-        for x, y in near_pairs(np.sort(group["fp"].to_numpy(np.int64).view(np.uint64)), radius):
+        fps, one = group["fp"].to_numpy(np.int64).view(np.uint64), group["block"].to_numpy() == group["p"].iloc[0]
+        others = None if group["p"].iloc[0] == group["q"].iloc[0] else np.sort(fps[~one])
+        for x, y in near_pairs(np.sort(fps[one]), radius, others=others):
             found.append((x.view(np.int64), y.view(np.int64)))
             n += len(x)
             if n > _PAIRS:  # of a dense cloud: as few links as say the same, before more come
@@ -166,8 +207,7 @@ def links(points: DataFrame, radius: int = RADIUS, stars: bool = False, shard: i
             a, b = merged()
         return pd.DataFrame({"a": a, "b": b})
 
-    shards = points.select("fp").mapInPandas(route, "shard int, fp long")
-    return shards.groupBy("shard").applyInPandas(pairs, "a long, b long")
+    return dealt(points, radius, shard).groupBy("shard", "p", "q").applyInPandas(pairs, "a long, b long")
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:

@@ -116,3 +116,38 @@ def test_groups_against_all_pairs(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.assign(docs).collect() == [] and S.deduplicate(docs).collect() == []
+
+
+def cloud(seed, bits):
+    centre, some = random.Random(seed).getrandbits(64), np.arange(1 << bits, dtype=np.uint64)
+    return np.sort(np.uint64(centre) ^ some)
+
+
+def test_pairs_between_two_sets():
+    p = np.concatenate((some_points(5, 800), cloud(6, 9)))
+    one = np.random.default_rng(7).random(len(p)) < 0.4
+    pairs = S.near_pairs(p[one], 2, leaf=16, others=p[~one])
+    got = {x for a, b in pairs for x in zip(a.tolist(), b.tolist(), strict=True)}
+    want = {x if x[0] in set(p[one].tolist()) else x[::-1] for x in all_pairs(p, 2)}
+    first = set(p[one].tolist())
+    assert got == {(a, b) for a, b in want if a in first and b not in first}
+
+
+def test_dense_cloud_takes_bounded_memory():
+    import tracemalloc
+
+    p = cloud(8, 14)
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in S.near_pairs(p, 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 14 * len(p) // 2 and peak < 24 << 20
+
+
+def test_dense_cloud_is_dealt_in_blocks(spark):
+    p = cloud(9, 10)
+    df = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fp long")
+    tasks = S.dealt(df, 2, shard=64).groupBy("shard", "p", "q").count().collect()
+    assert len(tasks) > 16 and max(r["count"] for r in tasks) <= 4 * 64
+    got = {tuple(sorted((x["a"] % 2**64, x["b"] % 2**64))) for x in S.links(df, shard=64).collect()}
+    assert got == all_pairs(p, 2)
