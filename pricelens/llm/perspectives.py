@@ -6,11 +6,14 @@ carries their name; system turns stay system turns. The mask marks what the mode
 learns from in that perspective: the assistant's words and the end mark after them.
 
 Long dialogues are rendered in consecutive parts of ``part_turns`` turn numbers (a
-row per conversation, speaker and part), so no task gathers a conversation of any
-length; the parts of a speaker, put after each other, are the whole dialogue.
-
-Defined results: turns go by turn number, then role, then text; a null turn number
-comes after all others (part -1, cut by text hash into further groups in ``piece``);
+row per conversation, speaker and part). A part of more than ``piece_turns`` turns, as
+repeated turn numbers or a null conv_id make it, is cut by the turns' order into
+consecutive pieces of that many at most, so no task gathers a conversation of any
+length; the parts and pieces of a speaker, put after each other, are the whole dialogue.
+
+Defined results: turns go by turn number, then role, then text (between the pieces of a
+part by the text's first 256 characters, then its hash); a null turn number comes after
+all others (part -1);
 a turn that repeats with the same conversation, number, role and text is one
 utterance; a null role is the participant ``unknown``; a null text is an empty turn;
 a null conv_id is a conversation of its own. A conversation of system turns only has
@@ -22,6 +25,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from .common import stored
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
@@ -41,8 +47,35 @@ def _header(role: Column, speaker: Column) -> Column:
     return F.concat(F.lit(OPEN), who, F.lit("\n"))
 
 
-def rotate(turns: DataFrame, part_turns: int = 64, null_pieces: int = 64) -> DataFrame:
-    """One row per conversation, participant and part.
+def _same_part(a: str, b: str) -> Column:
+    return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.part") == F.col(f"{b}.part"))
+
+
+def _pieces(turns: DataFrame, piece_turns: int) -> DataFrame:
+    """The distinct turns with their ``piece``: 0, or in a part of more than ``piece_turns``
+    of them the number of its run of so many turns at most, in the turns' order."""
+    full = turns.groupBy("conv_id", "part").agg(F.count("*").alias("n")).where(F.col("n") > piece_turns)
+    full = stored(full.select("conv_id", "part"), "full_parts")
+    once = ["conv_id", "turn", "role", "text"]
+    if not full.limit(1).count():
+        return turns.dropDuplicates(once).withColumn("piece", F.lit(0))
+    rest = turns.alias("t").join(full.alias("f"), _same_part("t", "f"), "left_anti").dropDuplicates(once)
+    many = turns.alias("t").join(full.alias("f"), _same_part("t", "f"), "left_semi").dropDuplicates(once)
+    order = ["conv_id", "part", "turn", "role", F.substring(_plain(F.col("text")), 1, 256), F.xxhash64("text")]
+    # numbered in order within a range of the turns: a run is so many rows of a range
+    many = many.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("nth", F.monotonically_increasing_id())
+    many = stored(many.withColumn("run", F.floor(F.col("nth") / piece_turns)).drop("nth"), "full_turns")
+    part = W.partitionBy("conv_id", "part")
+    runs = many.groupBy("conv_id", "part", "run").agg(F.count("*").alias("n"))
+    runs = runs.select("conv_id", "part", "run", F.when(F.sum("n").over(part) > piece_turns,
+                                                        F.row_number().over(part.orderBy("run")) - 1)
+                       .otherwise(0).alias("piece"))
+    many = many.alias("t").join(runs.alias("r"), _same_part("t", "r") & (F.col("t.run") == F.col("r.run")))
+    return rest.withColumn("piece", F.lit(0)).unionByName(many.select(*[f"t.{c}" for c in turns.columns], "r.piece"))
+
+
+def rotate(turns: DataFrame, part_turns: int = 64, piece_turns: int = 256) -> DataFrame:
+    """One row per conversation, participant, part and piece.
 
     ``rendered``: the text; ``spans``: array of (start, end) code point offsets in it
     that are trained on; ``mask``: a 0/1 string with a digit per segment (header, body
@@ -52,10 +85,8 @@ def rotate(turns: DataFrame, part_turns: int = 64, null_pieces: int = 64) -> Dat
     t = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    t = t.dropDuplicates(["conv_id", "turn", "role", "text"])
-    t = (t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long"))
-         .withColumn("piece", F.when(F.col("turn").isNull(), F.pmod(F.xxhash64("role", "text"), F.lit(null_pieces)))
-                     .otherwise(0).cast("int")))
+    t = t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("long"))
+    t = _pieces(t, piece_turns)
     speakers = (turns.select(F.col("conv_id").cast("long").alias("conv_id"),
                              F.coalesce(F.col("role"), F.lit(UNKNOWN)).alias("speaker"))
                 .where(F.col("speaker") != SYSTEM).distinct())

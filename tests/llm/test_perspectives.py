@@ -61,3 +61,17 @@ def test_query_has_no_python_and_matches_its_sql(spark):
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_every_query_returns_its_columns(spark, name):
     assert name.startswith("op") and Q.QUERIES[name].__name__ == name
+
+
+def test_large_parts_in_ordered_pieces(spark):
+    rows = [(None, k % 5, "ab"[k % 2], f"text {k}") for k in range(1000)] + [(7, 3, "a", f"again {k}") for k in range(300)]
+    rows += [(8, None, "a", f"no number {k}") for k in range(200)] + [(9, 1, "a", "same")] * 100 + [(9, 0, "b", "first")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [r for r in P.rotate(df, piece_turns=32).collect() if r["speaker"] == "a"]
+    assert max(r["n_turns"] for r in got) <= 32 and len({(r["conv_id"], r["part"], r["piece"]) for r in got}) == len(got)
+    for conv in (None, 7, 8, 9):
+        mine = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: (r["part"], r["piece"]))
+        turns = sorted({(t or 0, role, text) for c, t, role, text in rows if c == conv})
+        assert "".join(r["rendered"] for r in mine) == plain([t[1:] for t in turns], "a")[0]
+        assert [r["piece"] for r in mine] == list(range(len(mine)))
+    assert sum(r["conv_id"] == 9 for r in got) == 1
