@@ -36,6 +36,9 @@ UNKNOWN = "und"
 DOCS, PIECES, PIECE_CHARS, LEXICON, MAX_LANGUAGES = 400, 3, 600, 1000, 256
 HASHES, STEPS, RATE, DECAY = 1 << 15, 60, 0.1, 1e-4
 SEGMENT, BATCH_WORDS = 32, 400_000
+#: Most numbers in an array of training (chains x words x languages) and of labelling
+#: (segments x languages x languages), beyond a single chain or segment.
+TRAIN_CELLS, MOVE_CELLS = 1 << 22, 1 << 22
 #: Remembered words: as they stand in texts, and bare with their weights.
 CACHE_FORMS, CACHE_WORDS = 150_000, 250_000
 MIN_SCORE = 0.4
@@ -121,8 +124,39 @@ class Field:
             self.filled = need
         return out, self.table
 
+    def batch_words(self) -> int:
+        """Words that are labelled at once, in whole segments."""
+        return max(1, min(BATCH_WORDS // SEGMENT, MOVE_CELLS // len(self.labels) ** 2)) * SEGMENT
+
     def marginal_sums(self, ids: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-        """Sum of the words' marginals for each text of one word or more."""
+        """Sum of the words' marginals for each text of one word or more, so many segments
+        at once; a longer text in pieces that hand on their boundary vectors."""
+        most, out, at = self.batch_words(), [], 0
+        while at < len(ids):
+            if len(ids[at]) > most:
+                pieces = [ids[at][k : k + most] for k in range(0, len(ids[at]), most)]
+                enter = [None]
+                for piece in pieces[:-1]:
+                    enter.append(self._marginal_sums([piece], table, enter[-1])[1])
+                leave, sums = None, 0.0
+                for piece, a in zip(reversed(pieces), reversed(enter), strict=True):
+                    one, _, leave = self._marginal_sums([piece], table, a, leave)
+                    sums = sums + one
+                out.append(sums)
+                at += 1
+                continue
+            end, segs = at, 0
+            while end < len(ids) and (end == at or segs - len(ids[end]) // -SEGMENT <= most // SEGMENT):
+                segs -= len(ids[end]) // -SEGMENT
+                end += 1
+            out.append(self._marginal_sums(ids[at:end], table)[0])
+            at = end
+        return np.concatenate(out)
+
+    def _marginal_sums(self, ids: list[np.ndarray], table: np.ndarray, enter: np.ndarray | None = None,
+                       leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sums, and the vectors after the last and before the first word of ``ids``.
+        ``enter`` and ``leave``: what they are at the ends of a piece within a text."""
         n_labels, count = len(self.labels), np.array([len(x) for x in ids])
         segs = -(-count // SEGMENT)
         first = np.cumsum(segs) - segs
@@ -132,7 +166,7 @@ class Field:
         place = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
         rows[np.repeat(first, count) + place // SEGMENT, place % SEGMENT] = flat
         opens = np.zeros(total, bool)
-        opens[first] = True
+        opens[first] = enter is None
         step = np.exp(self.steps - self.steps.max()).astype(np.float32)
         there = rows >= 0
         given = np.where(there[..., None], table[np.where(there, rows, 0)], np.float32(1))
@@ -150,6 +184,10 @@ class Field:
             moves = np.where(on[:, None, None], to, moves)
         ahead = np.ones((total, n_labels), np.float32)  # before a segment, from the left
         behind = np.ones((total, n_labels), np.float32)  # after a segment, from the right
+        if enter is not None:
+            ahead[0] = enter
+        if leave is not None:
+            behind[-1] = leave
         order = np.argsort(-segs, kind="stable")
         more = np.searchsorted(-segs[order], -np.arange(1, int(segs.max()) + 1), side="right")
         for k in range(1, int(segs.max())):
@@ -170,7 +208,7 @@ class Field:
             on = there[:, s, None]
             sums += np.where(on, scaled(left[s] * b, 1), 0)
             b = np.where(on, scaled((given[:, s] * b) @ step.T, 1), b)
-        return np.add.reduceat(sums, first, axis=0)
+        return np.add.reduceat(sums, first, axis=0), a[-1], b[0]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
@@ -180,7 +218,7 @@ class Field:
         at = 0
         while at < len(texts):
             end, chars = at, 0
-            while end < len(texts) and (end == at or chars < 6 * BATCH_WORDS):
+            while end < len(texts) and (end == at or chars < 6 * self.batch_words()):
                 chars += len(texts[end] or "")
                 end += 1
             ids, table = self.number(texts[at:end])
@@ -216,17 +254,18 @@ def train(pieces: list[tuple[str, str]], seed: int = 11, steps: int = STEPS) ->
     chains = [[split[i] for i in order[k : k + 3]] for k in range(0, len(order), 3)]
     words = {w: i for i, w in enumerate(sorted({w for _, ws in split for w in ws}))}
     lists = [features(w, field.lexicon) for w in words]
-    flat = np.fromiter((f for x in lists for f in x), np.int64, sum(map(len, lists)))
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    starts = np.cumsum([0, *[len(x) for x in lists[:-1]]])
+    flat = np.fromiter((f for x in lists for f in x), np.int32, sum(map(len, lists)))
+    ends = np.cumsum([len(x) for x in lists])
+    del lists
     longest = max(sum(len(ws) for _, ws in c) for c in chains)
-    ids, gold = np.full((len(chains), longest), -1), np.zeros((len(chains), longest), np.int64)
+    ids, gold = np.full((len(chains), longest), -1, np.int32), np.zeros((len(chains), longest), np.int16)
     for r, chain in enumerate(chains):
         ids[r, : sum(len(ws) for _, ws in chain)] = [words[w] for _, ws in chain for w in ws]
         gold[r, : sum(len(ws) for _, ws in chain)] = [k for k, ws in chain for _ in ws]
     there = ids >= 0
     total = there.sum()
     onehot = np.eye(n_labels)
+    size = max(1, TRAIN_CELLS // (longest * n_labels))
     linked = there[:, 1:] & there[:, :-1]
     seen = np.zeros((n_labels, n_labels))
     np.add.at(seen, (gold[:, :-1][linked], gold[:, 1:][linked]), 1)
@@ -237,20 +276,28 @@ def train(pieces: list[tuple[str, str]], seed: int = 11, steps: int = STEPS) ->
         moment[what] = m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         return value + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
 
-    for t in range(1, steps + 1):
-        e = np.add.reduceat(field.weights[flat], starts, axis=0)
+    def slopes(ids: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What some chains add to the slope of the weights and to the expected transitions."""
+        there = ids >= 0
+        some = np.unique(ids[there])
+        ids = np.searchsorted(some, ids)
+        counts = ends[some] - np.where(some > 0, ends[some - 1], 0)
+        starts = np.cumsum(counts) - counts
+        feats = flat[np.repeat(ends[some] - counts - starts, counts) + np.arange(counts.sum())]
+        owner = np.repeat(np.arange(len(some)), counts)
+        e = np.stack([np.add.reduceat(field.weights[:, k][feats], starts) for k in range(n_labels)], 1)
         p = np.exp(e - e.max(1, keepdims=True))
         move = np.exp(field.steps - field.steps.max())
         given = np.where(there[..., None], p[np.where(there, ids, 0)], 1.0)
-        left = np.empty((longest, len(chains), n_labels))
+        left = np.empty((longest, len(ids), n_labels))
         a = given[:, 0] / given[:, 0].sum(1, keepdims=True)
         left[0] = a
         for s in range(1, longest):
             to = (a @ move) * given[:, s]
             a = np.where(there[:, s, None], to / to.sum(1, keepdims=True), a)
             left[s] = a
-        by_word, by_step = np.zeros((len(words), n_labels)), seen.copy()
-        b = np.ones((len(chains), n_labels))
+        by_word, by_step = np.zeros((len(some), n_labels)), np.zeros((n_labels, n_labels))
+        b = np.ones((len(ids), n_labels))
         for s in range(longest - 1, -1, -1):
             on = there[:, s]
             g = left[s] * b
@@ -258,11 +305,19 @@ def train(pieces: list[tuple[str, str]], seed: int = 11, steps: int = STEPS) ->
             np.add.at(by_word, ids[on, s], onehot[gold[on, s]] - g[on])
             if s:
                 right = given[:, s] * b
-                both = left[s - 1][:, :, None] * move * right[:, None, :]
-                by_step -= (both / both.sum((1, 2), keepdims=True))[on].sum(0)
                 back = right @ move.T
+                before = left[s - 1] / (left[s - 1] * back).sum(1, keepdims=True)
+                by_step += move * (before[on].T @ right[on])
                 b = np.where(on[:, None], back / back.sum(1, keepdims=True), b)
-        slope = np.stack([np.bincount(flat, by_word[owner, k], len(field.weights)) for k in range(n_labels)], 1)
+        return np.stack([np.bincount(feats, by_word[owner, k], len(field.weights)) for k in range(n_labels)], 1), by_step
+
+    for t in range(1, steps + 1):
+        # the whole sample's slope, some chains at a time
+        slope, by_step = np.zeros(field.weights.shape), seen.copy()
+        for k in range(0, len(chains), size):
+            of_weights, expected = slopes(ids[k : k + size], gold[k : k + size])
+            slope += of_weights
+            by_step -= expected
         field.weights = ascend("w", field.weights, slope / total - DECAY * field.weights, t)
         field.steps = ascend("t", field.steps, by_step / total - DECAY * field.steps, t)
     return field

@@ -80,3 +80,35 @@ def test_nothing_is_learned_from_the_held_out(spark):
     for _, piece in L.sample(docs, 50):
         assert any(piece in t for t in rest)
     assert held
+
+
+def made_up(n_languages, n_pieces, n_words, seed=5):
+    r = np.random.default_rng(seed)
+    names = [f"l{k:03}" for k in range(n_languages)]
+    lexicon = {x: ["".join(r.choice(list("abcdefghijklmnop"), 5)) for _ in range(20)] for x in names}
+    return [(x, " ".join(r.choice(lexicon[x], n_words))) for x in names for _ in range(n_pieces)]
+
+
+def test_batches_give_the_same_field_and_marginals(monkeypatch):
+    pieces = made_up(3, 9, 30)
+    whole = L.train(pieces, steps=8)
+    texts = [" ".join(t for _, t in pieces), "", "abc", *(t for _, t in pieces)]
+    langs, scores = whole.predict(texts)
+    monkeypatch.setattr(L, "TRAIN_CELLS", 600)
+    monkeypatch.setattr(L, "MOVE_CELLS", 20)
+    parts = L.train(pieces, steps=8)
+    assert np.allclose(parts.weights, whole.weights, atol=1e-6) and np.allclose(parts.steps, whole.steps, atol=1e-6)
+    again, close = whole.predict(texts)
+    assert again == langs and np.allclose(close, scores, atol=1e-5)
+
+
+def test_many_languages_take_bounded_memory():
+    import tracemalloc
+
+    pieces = made_up(60, 12, 80)
+    tracemalloc.start()
+    field = L.train(pieces, steps=2)
+    field.predict([t for _, t in pieces] * 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
