@@ -2,7 +2,8 @@
 
 Per-column metrics come out as long tables ``(metric, column_name, score)``;
 each metric family is one aggregation pass over the data (per-column counts
-side by side), never a per-column loop of jobs. Column *names* are schema
+side by side), never a per-column loop of jobs; the first generation's price, outlier
+and null checks read one table of value counts. Column *names* are schema
 metadata and are handled on the driver; row data never is.
 """
 
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import round_he, safe_div
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import quantiles_of_counts
+from .clean import materialize
 
 
 def qc(c: str):
@@ -109,41 +111,58 @@ def consistency(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def column_profile(df: DataFrame, rules: dict | None = None) -> DataFrame:
+    """One row for the whole frame: ``_n`` rows and a map ``_by`` from a column's number to its
+    total, filled (non-null), modal (rows of the most frequent value length) and valid rows.
+
+    Every row becomes (column, length, rule passed) cells; counted map-side they are a handful
+    of rows, from which completeness, validity and consistency follow together.
+    """
+    cols, cells = df.columns, []
+    strs = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    for i, c in enumerate(cols):
+        size = F.length(qc(c)) if c in strs else F.when(qc(c).isNotNull(), F.lit(0))
+        ok = _rule_expr(df, c, (rules or {})[c]) if c in (rules or {}) else F.lit(False)
+        cells.append(F.struct(F.lit(i).alias("c"), size.cast("int").alias("len"), F.coalesce(ok, F.lit(False)).alias("ok")))
+    counts = (df.select(F.inline(F.array(*cells))).groupBy("c", "len", "ok").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("c", "len").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("ok"), F.col("n"))).alias("ok")))
+    filled = F.when(F.col("len").isNotNull(), F.col("n"))
+    per = counts.groupBy("c").agg(F.sum("n").alias("total"), F.sum(filled).alias("filled"), F.max(filled).alias("modal"),
+                                  F.sum("ok").alias("valid"))
+    # one entry a column of the schema
+    return per.agg(F.coalesce(F.max("total"), F.lit(0)).alias("_n"), F.map_from_entries(F.collect_list(F.struct(
+        "c", F.struct("total", "filled", "modal", "valid")))).alias("_by"))
+
+
 def quality_report(df: DataFrame, rules: dict | None = None, keys=None) -> DataFrame:
     """Q5: the long table of all metrics plus dataset size rows.
 
-    Row count, completeness, validity and the non-text consistency all come
-    from one aggregation pass; modal text lengths and key uniqueness are the
-    only other (grouped, partially aggregated) passes.
+    Two passes: the column profile yields row count, completeness, validity and consistency;
+    key uniqueness is a grouped count of its own.
     """
     cols = df.columns
     strs = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(qc(c)).alias(f"_c{i}") for i, c in enumerate(cols)]
-    items = [("total_rows", None, F.col("_n").cast("double")),
-             ("total_columns", None, F.lit(float(len(cols))))]
-    items += [("completeness", c, F.col(f"_c{i}") / F.col("_n")) for i, c in enumerate(cols)]
-    items += [("consistency", c, F.col(f"_c{i}") / F.col("_n")) for i, c in enumerate(cols) if c not in strs]
-    for j, (c, rule) in enumerate((rules or {}).items()):
-        e = _rule_expr(df, c, rule)
-        if e is None:
-            items.append(("validity", c, F.lit(0.0)))
-        else:
-            aggs.append(F.count_if(F.coalesce(e, F.lit(False))).alias(f"_v{j}"))
-            items.append(("validity", c, F.col(f"_v{j}") / F.col("_n")))
-    row = df.agg(*aggs)
+
+    def of(c, what):
+        return F.coalesce(F.element_at("_by", F.lit(cols.index(c)))[what], F.lit(0))
+
+    items = [("total_rows", None, F.col("_n").cast("double"), True),
+             ("total_columns", None, F.lit(float(len(cols))), True)]
+    items += [("completeness", c, safe_div(of(c, "filled"), F.col("_n")), False) for c in cols]
+    # a text column without a value is consistent
+    items += [("consistency", c, F.coalesce(safe_div(of(c, "modal"), F.when(of(c, "filled") > 0, of(c, "filled"))), F.lit(1.0)), True)
+              if c in strs else ("consistency", c, safe_div(of(c, "filled"), F.col("_n")), False) for c in cols]
+    items += [("validity", c, safe_div(of(c, "valid"), F.col("_n")) if c in cols else F.lit(0.0), False)
+              for c in rules or {}]
     arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(c).cast("string").alias("column_name"),
-                             e.cast("double").alias("score")) for m, c, e in items])
-    one_pass = (row.select("_n", F.inline(arr))
-                   .filter(F.col("metric").isin("total_rows", "total_columns") | (F.col("_n") > 0))
-                   .drop("_n"))
-    parts = [one_pass]
-    if strs:
-        parts.append(consistency(df.select(*[qc(c) for c in cols if c in strs])))
+                             e.cast("double").alias("score"), F.lit(always).alias("always")) for m, c, e, always in items])
+    out = (column_profile(df, rules).select("_n", F.inline(arr)).filter((F.col("_n") > 0) | F.col("always"))
+           .drop("_n", "always"))
     if keys:
-        parts.append(uniqueness(df, keys).select(F.lit("uniqueness").alias("metric"),
-                                                 F.lit(None).cast("string").alias("column_name"),
-                                                 F.col("uniqueness").alias("score")))
-    return reduce(DataFrame.unionByName, parts)
+        out = out.unionByName(uniqueness(df, keys).select(F.lit("uniqueness").alias("metric"),
+                                                          F.lit(None).cast("string").alias("column_name"),
+                                                          F.col("uniqueness").alias("score")))
+    return out
 
 
 SCORED = ["completeness", "validity", "consistency", "uniqueness"]
@@ -175,14 +194,40 @@ def quality_issues(report: DataFrame) -> DataFrame:
 
 
 # ---- first generation -------------------------------------------------------
-def v1_checks(df: DataFrame, required) -> DataFrame:
+#: Measures of the v1 count table beside the columns themselves.
+RELATION, NULLS, CRITICAL = "relation", "null cells", "critical nulls"
+
+
+def value_counts(df: DataFrame, columns, price: str | None = None, cost: str | None = None, required=()) -> DataFrame:
+    """(measure, value, n): how often each value occurs, of the numeric ``columns``, of the
+    relation price <= cost (1 or 0), of the number of null cells in a row and of the number of
+    null ``required`` fields.
+
+    Nulls, ranges, quartiles and fences of Q10, Q12, Q15 and Q16 follow from this one table.
+    A value that many rows share is one row a task before the shuffle. Whoever reads the table
+    more than once checkpoints it, so the rows behind it are read once.
+    """
+    cells = [(c, qc(c)) for c in columns]
+    if price is not None:
+        cells.append((RELATION, (qc(price) <= qc(cost)).cast("double")))
+    cells.append((NULLS, sum([qc(c).isNull().cast("int") for c in df.columns], F.lit(0))))
+    cells.append((CRITICAL, sum([qc(c).isNull().cast("int") for c in required if c in df.columns], F.lit(0))))
+    arr = F.array(*[F.struct(F.lit(m).alias("measure"), x.cast("double").alias("value")) for m, x in cells])
+    return df.select(F.inline(arr)).groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sum_of(cond):
+    return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+
+
+def v1_checks(df: DataFrame, required, counts: DataFrame | None = None) -> DataFrame:
     """Q10 + Q11: cell completeness, critical-field flag, whole-row duplicates."""
     cols = df.columns
     n_cells = float(len(cols))
-    row = df.agg(F.count(F.lit(1)).alias("_n"),
-                 sum([F.count_if(qc(c).isNull()) for c in cols], F.lit(0)).alias("_nulls"),
-                 *[F.count_if(qc(c).isNull()).alias(f"_r{i}") for i, c in enumerate(required) if c in cols])
-    crit = [F.col(f"_r{i}") > 0 for i, c in enumerate(required) if c in cols]
+    counts = value_counts(df, [], required=required) if counts is None else counts
+    nulls, critical = F.col("measure") == NULLS, (F.col("measure") == CRITICAL) & (F.col("value") > 0)
+    row = counts.agg(_sum_of(nulls).alias("_n"), F.sum(F.when(nulls, F.col("value") * F.col("n"))).alias("_nulls"),
+                     (_sum_of(critical) > 0).alias("_critical"))
     dup = (df.groupBy(*[qc(c) for c in cols]).agg(F.count(F.lit(1)).alias("_k"))
              .agg(F.sum("_k").alias("_t"), F.count(F.lit(1)).alias("_d")))
     out = _one_row_join(row, dup)
@@ -191,7 +236,7 @@ def v1_checks(df: DataFrame, required) -> DataFrame:
     dup_rate = F.coalesce(safe_div(dup_count, F.col("_n")), F.lit(0.0))
     return out.select(
         comp.alias("completeness"), (comp >= C.V1_MIN_COMPLETENESS).alias("completeness_passed"),
-        (reduce(lambda a, b: a | b, crit) if crit else F.lit(False)).alias("critical_fields_missing"),
+        F.col("_critical").alias("critical_fields_missing"),
         dup_count.alias("duplicate_count"), dup_rate.alias("duplicate_rate"),
         (dup_rate <= C.V1_MAX_DUPLICATE_RATE).alias("duplicates_passed"))
 
@@ -201,19 +246,23 @@ def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
-def price_validation(df: DataFrame, price: str, cost: str, price_range, cost_range) -> DataFrame:
-    """Q12: invalid (out of range or null) counts and rates, actual min/max, price <= cost."""
-    def one(c, rng):
-        x = qc(c)
-        bad = F.count_if(x.isNull() | (x < rng[0]) | (x > rng[1]))
-        return df.agg(F.lit(c).alias("measure"), bad.cast("long").alias("invalid_count"),
-                      safe_div(bad, F.count(F.lit(1))).alias("invalid_rate"),
-                      F.lit(float(rng[0])).alias("min_valid"), F.lit(float(rng[1])).alias("max_valid"),
-                      F.min(x).alias("actual_min"), F.max(x).alias("actual_max"))
-    bad_rel = F.count_if(qc(price) <= qc(cost))
-    rel = df.agg(F.lit("relation").alias("measure"), bad_rel.cast("long").alias("invalid_count"),
-                 safe_div(bad_rel, F.count(F.lit(1))).alias("invalid_rate"))
-    return one(price, price_range).unionByName(one(cost, cost_range)).unionByName(rel, allowMissingColumns=True)
+def price_validation(df: DataFrame, price: str, cost: str, price_range, cost_range,
+                     counts: DataFrame | None = None) -> DataFrame:
+    """Q12: invalid (out of range or null) counts and rates, actual min/max, price <= cost;
+    all from one row of sums over the count table."""
+    counts = value_counts(df, [price, cost], price, cost) if counts is None else counts
+    v, aggs, items = F.col("value"), [], []
+    for i, (c, rng) in enumerate(((price, price_range), (cost, cost_range), (RELATION, None))):
+        mine = F.col("measure") == c
+        bad = mine & ((v.isNull() | (v < rng[0]) | (v > rng[1])) if rng else v == 1.0)
+        aggs += [_sum_of(mine).alias(f"_n{i}"), _sum_of(bad).alias(f"_bad{i}"),
+                 F.min(F.when(mine, v)).alias(f"_min{i}"), F.max(F.when(mine, v)).alias(f"_max{i}")]
+        edge = [F.lit(float(x)) if rng else F.lit(None).cast("double") for x in rng or (0, 0)]
+        items.append(F.struct(F.lit(c).alias("measure"), F.col(f"_bad{i}").cast("long").alias("invalid_count"),
+                              safe_div(f"_bad{i}", f"_n{i}").alias("invalid_rate"),
+                              edge[0].alias("min_valid"), edge[1].alias("max_valid"),
+                              *[(F.col(f"_{k}{i}") if rng else F.lit(None).cast("double")).alias(f"actual_{k}") for k in ("min", "max")]))
+    return counts.agg(*aggs).select(F.inline(F.array(*items)))
 
 
 def date_validation(df: DataFrame, date_col: str, date_range) -> DataFrame:
@@ -242,32 +291,32 @@ def geo_validation(df: DataFrame, checks: dict) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def iqr_outliers(df: DataFrame, columns) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns, counts: DataFrame | None = None) -> DataFrame:
     """Q15: Tukey fences per column from exact quartiles (skew-safe quantiles),
-    outlier count and rate among non-null values, and the mean rate."""
-    parts = []
-    for c in columns:
-        x = df.select(qc(c).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-        q = exact_quantiles(x, [], {"q1": ("_x", 0.25), "q3": ("_x", 0.75), "median": ("_x", 0.5)})
-        q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
-              .withColumn("lower_bound", F.col("q1") - 1.5 * F.col("iqr"))
-              .withColumn("upper_bound", F.col("q3") + 1.5 * F.col("iqr")))
-        parts.append(_fences(x, q).withColumn("measure", F.lit(c)))
-    out = reduce(DataFrame.unionByName, parts)
-    overall = out.agg(F.avg("rate").alias("overall_rate"))
-    return (_one_row_join(out, overall)
+    outlier count and rate among non-null values, and the mean rate; all columns at once,
+    from the count table."""
+    columns = list(columns)
+    counts = materialize(value_counts(df, columns)) if counts is None else counts
+    mine = counts.where(F.col("measure").isin(columns) & F.col("value").isNotNull())
+    q = quantiles_of_counts(mine.select("measure", F.lit("value").alias("_m"), F.col("value").alias("_v"), F.col("n").alias("_c")),
+                            ["measure"], {"q1": ("value", 0.25), "q3": ("value", 0.75), "median": ("value", 0.5)})
+    q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
+          .withColumn("lower_bound", F.col("q1") - 1.5 * F.col("iqr"))
+          .withColumn("upper_bound", F.col("q3") + 1.5 * F.col("iqr")))
+    # a row a column (proven size): the values are not shuffled again
+    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+    cnt = mine.join(F.broadcast(q), "measure").groupBy("measure").agg(
+        _sum_of(outside).cast("long").alias("count"), F.sum("n").alias("_n"),
+        *[F.first(c).alias(c) for c in ("q1", "q3", "median", "iqr", "lower_bound", "upper_bound")])
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "measure string")
+    out = (names.join(cnt, "measure", "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+           .withColumn("rate", safe_div("count", "_n")).drop("_n"))
+    # a column's row beside the mean over all of them, which are as many as there are columns
+    rows = out.agg(F.collect_list(F.struct(*out.columns)).alias("_rows"), F.avg("rate").alias("overall_rate"))
+    return (rows.select(F.inline("_rows"), "overall_rate")
             .withColumn("passed", F.col("overall_rate") <= C.V1_MAX_OUTLIER_RATE))
 
 
-def _fences(x: DataFrame, q: DataFrame) -> DataFrame:
-    # q is one row (proven size): broadcast it, so x is never shuffled.
-    f = F.broadcast(q.select("lower_bound", "upper_bound").withColumn("_one", F.lit(1)))
-    j = x.withColumn("_one", F.lit(1)).join(f, "_one")
-    cnt = j.agg(F.count_if((F.col("_x") < F.col("lower_bound")) | (F.col("_x") > F.col("upper_bound")))
-                .cast("long").alias("count"), F.count(F.lit(1)).alias("_n"))
-    return _one_row_join(cnt, q).withColumn("rate", safe_div("count", "_n")).drop("_n")
-
-
 def weighted_score(v1: DataFrame, schema_ok: bool, prices: DataFrame, outliers: DataFrame) -> DataFrame:
     """Q16 with K19 fixed: weighted components summed and renormalised to 0-100."""
     w = C.V1_SCORE_WEIGHTS
@@ -300,9 +349,10 @@ def schema_check(df: DataFrame, expected) -> dict:
 def run_quality_checks_v1(df: DataFrame, required, price: str, cost: str, date_col: str,
                           price_range, cost_range, date_range, geo: dict) -> dict:
     """Q17: every first-generation check on one frame, as named DataFrames."""
-    checks = v1_checks(df, required)
-    prices = price_validation(df, price, cost, price_range, cost_range)
-    outliers = iqr_outliers(df, [price, cost])
+    counts = materialize(value_counts(df, [price, cost], price, cost, required))
+    checks = v1_checks(df, required, counts)
+    prices = price_validation(df, price, cost, price_range, cost_range, counts)
+    outliers = iqr_outliers(df, [price, cost], counts)
     ok = schema_check(df, required)["schema_valid"]
     score = status_band(weighted_score(checks, ok, prices, outliers))
     return {"checks": checks, "prices": prices, "dates": date_validation(df, date_col, date_range),

@@ -1,6 +1,7 @@
 """Gold analytics, v2: the fifteen datasets (temporal, regional, competitive, product).
 
-Each function takes a Silver frame and its roles and returns one dataset.
+Each function takes a Silver frame and its roles and returns one dataset; ``a`` says how
+aggregates are taken, from rows or from monthly states (functions/moments.py).
 Aggregates are rounded half-even to 3 dp *before* derived columns (K10);
 rows with a null group key are dropped (K24). ``ORACLE`` holds the DuckDB
 twin of each query over the ``silver`` CTE of plans/silver.py.
@@ -14,72 +15,71 @@ from pyspark.sql import functions as F
 from ..config import PanelRoles
 from ..functions import (avg_fixed, avg_rank, first_label_max, first_label_min, not_null_keys,
                          pct_change, round_he, safe_corr, safe_div)
-from ..functions.quantiles import agg_with_quantiles
+from ..functions.moments import ROWS
 from . import sqlgen as S
 
 
-def _grouped(df, keys, aggs: dict, medians: dict | None = None):
+def _grouped(df, keys, aggs: dict, medians: dict | None = None, a=ROWS):
     """groupBy(keys) with rounded aggregates (+ exact medians, also rounded)."""
     df = not_null_keys(df, keys)
-    out = agg_with_quantiles(df, keys, [c.alias(n) for n, c in aggs.items()],
-                             {n: (c, 0.5) for n, c in (medians or {}).items()})
+    out = a.grouped(df, keys, [c.alias(n) for n, c in aggs.items()], medians or {})
     names = list(aggs) + list(medians or {})
     return out.select(*keys, *[round_he(n, 3).alias(n) for n in names])
 
 
 # G1 -------------------------------------------------------------------------
-def monthly_price_evolution(df: DataFrame, r: PanelRoles) -> DataFrame:
+def monthly_price_evolution(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     keys = [r.year, r.month, r.product]
     out = _grouped(df, keys, {
-        "price_mean": F.avg(r.price), "price_min": F.min(r.price), "price_max": F.max(r.price),
-        "price_count": F.count(r.price), "margin_pct_mean": F.avg("margin_pct"),
-    }, {"price_median": r.price, "margin_pct_median": "margin_pct"})
+        "price_mean": a.mean(r.price), "price_min": a.low(r.price), "price_max": a.high(r.price),
+        "price_count": a.count(r.price), "margin_pct_mean": a.mean("margin_pct"),
+    }, {"price_median": r.price, "margin_pct_median": "margin_pct"}, a=a)
     return out.withColumn("price_count", F.col("price_count").cast("long")) \
               .withColumn("period", F.make_date(r.year, r.month, F.lit(1)))
 
 
 # G2 -------------------------------------------------------------------------
-def seasonality(df: DataFrame, r: PanelRoles) -> DataFrame:
+def seasonality(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.month, r.product], {
-        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price),
-        "margin_pct_mean": F.avg("margin_pct")})
+        "price_mean": a.mean(r.price), "price_std": a.std(r.price),
+        "margin_pct_mean": a.mean("margin_pct")}, a=a)
     return out.withColumn("coef_variation", safe_div("price_std", "price_mean"))
 
 
 # G3 -------------------------------------------------------------------------
-def annual_trends(df: DataFrame, r: PanelRoles) -> DataFrame:
+def annual_trends(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.year, r.product], {
-        "price_mean": F.avg(r.price), "price_count": F.count(r.price),
-        "margin_pct_mean": F.avg("margin_pct")})
+        "price_mean": a.mean(r.price), "price_count": a.count(r.price),
+        "margin_pct_mean": a.mean("margin_pct")}, a=a)
     w = Window.partitionBy(r.product).orderBy(r.year)
     return (out.withColumn("price_count", F.col("price_count").cast("long"))
                .withColumn("growth_pct", pct_change(F.col("price_mean"), F.lag("price_mean").over(w))))
 
 
 # G4 -------------------------------------------------------------------------
-def price_volatility(df: DataFrame, r: PanelRoles) -> DataFrame:
+def price_volatility(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.year, r.month, r.product], {
-        "price_std": F.stddev_samp(r.price), "price_min": F.min(r.price), "price_max": F.max(r.price)})
+        "price_std": a.std(r.price), "price_min": a.low(r.price), "price_max": a.high(r.price)}, a=a)
     return (out.withColumn("amplitude", F.col("price_max") - F.col("price_min"))
                .withColumn("relative_volatility", safe_div("price_std", "price_max") * 100.0))
 
 
 # G5 -------------------------------------------------------------------------
-def state_price_ranking(df: DataFrame, r: PanelRoles) -> DataFrame:
+def state_price_ranking(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.state, r.product], {
-        "price_mean": F.avg(r.price), "price_count": F.count(r.price),
-        "margin_pct_mean": F.avg("margin_pct")}, {"price_median": r.price})
+        "price_mean": a.mean(r.price), "price_count": a.count(r.price),
+        "margin_pct_mean": a.mean("margin_pct")}, {"price_median": r.price}, a=a)
     return (out.withColumn("price_count", F.col("price_count").cast("long"))
                .withColumn("price_rank", avg_rank("price_mean", [r.product], ascending=True)))
 
 
 # G6 -------------------------------------------------------------------------
-def regional_analysis(df: DataFrame, r: PanelRoles) -> DataFrame:
+def regional_analysis(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.region, r.product], {
-        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price),
-        "price_count": F.count(r.price), "margin_pct_mean": F.avg("margin_pct"),
-        "margin_pct_std": F.stddev_samp("margin_pct"), "cost_mean": F.avg(r.cost)},
-        {"price_median": r.price})
+        "price_mean": a.mean(r.price), "price_std": a.std(r.price),
+        "price_count": a.count(r.price), "margin_pct_mean": a.mean("margin_pct"),
+        "margin_pct_std": a.std("margin_pct"), "cost_mean": a.mean(r.cost)},
+        {"price_median": r.price}, a=a)
     # idxmin / idxmax: first region in key order wins ties; max is assigned
     # last, so a one-region product ends MAIS_CARA.
     lo = F.row_number().over(Window.partitionBy(r.product).orderBy(F.col("price_mean").asc(), F.col(r.region)))
@@ -90,9 +90,9 @@ def regional_analysis(df: DataFrame, r: PanelRoles) -> DataFrame:
 
 
 # G7 -------------------------------------------------------------------------
-def regional_disparity(df: DataFrame, r: PanelRoles) -> DataFrame:
+def regional_disparity(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     means = (not_null_keys(df, [r.region, r.product])
-             .groupBy(r.region, r.product).agg(F.avg(r.price).alias("m"))
+             .groupBy(r.region, r.product).agg(a.mean(r.price).alias("m"))
              .filter(F.col("m") > 0))
     out = (means.groupBy(r.product)
                 .agg(F.count(F.lit(1)).alias("n_regions"), F.stddev_samp("m").alias("s"),
@@ -107,19 +107,19 @@ def regional_disparity(df: DataFrame, r: PanelRoles) -> DataFrame:
 
 
 # G8 -------------------------------------------------------------------------
-def brand_market_share(df: DataFrame, r: PanelRoles) -> DataFrame:
+def brand_market_share(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     keys = [r.brand, r.product]
-    out = not_null_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_points"))
+    out = not_null_keys(df, keys).groupBy(*keys).agg(a.rows().alias("n_points"))
     tot = F.sum("n_points").over(Window.partitionBy(r.product))
     out = out.withColumn("market_share_pct", round_he(F.col("n_points") / tot * 100.0, 2))
     return out.withColumn("share_rank", avg_rank("market_share_pct", [r.product], ascending=False))
 
 
 # G9 -------------------------------------------------------------------------
-def brand_positioning(df: DataFrame, r: PanelRoles) -> DataFrame:
+def brand_positioning(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.brand, r.product], {
-        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price),
-        "price_count": F.count(r.price), "margin_pct_mean": F.avg("margin_pct")})
+        "price_mean": a.mean(r.price), "price_std": a.std(r.price),
+        "price_count": a.count(r.price), "margin_pct_mean": a.mean("margin_pct")}, a=a)
     w = Window.partitionBy(r.product)
     q33 = F.percentile("price_mean", 0.33).over(w)
     q67 = F.percentile("price_mean", 0.67).over(w)
@@ -130,35 +130,35 @@ def brand_positioning(df: DataFrame, r: PanelRoles) -> DataFrame:
 
 
 # G10 ------------------------------------------------------------------------
-def major_brand_competitiveness(df: DataFrame, r: PanelRoles) -> DataFrame:
+def major_brand_competitiveness(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     df = df.filter(F.col(r.brand).isin(*r.majors_gold))
     out = _grouped(df, [r.brand, r.product], {
-        "price_mean": F.avg(r.price), "price_count": F.count(r.price),
-        "margin_pct_mean": F.avg("margin_pct"), "regional_presence": F.count_distinct(r.region)})
+        "price_mean": a.mean(r.price), "price_count": a.count(r.price),
+        "margin_pct_mean": a.mean("margin_pct"), "regional_presence": F.count_distinct(r.region)}, a=a)
     return out.withColumn("price_count", F.col("price_count").cast("long")) \
               .withColumn("regional_presence", F.col("regional_presence").cast("long"))
 
 
 # G11 ------------------------------------------------------------------------
-def pair_monthly_means(df: DataFrame, r: PanelRoles, keys) -> DataFrame:
+def pair_monthly_means(df: DataFrame, r: PanelRoles, keys, a=ROWS) -> DataFrame:
     """Mean price of each pair member per cell; a missing member stays null."""
     sub, ref = r.pair
     df = not_null_keys(df.filter(F.col(r.product).isin(sub, ref)), keys)
     return df.groupBy(*keys).agg(
-        F.avg(F.when(F.col(r.product) == sub, F.col(r.price))).alias("substitute_price"),
-        F.avg(F.when(F.col(r.product) == ref, F.col(r.price))).alias("reference_price"))
+        a.mean(r.price, F.col(r.product) == sub).alias("substitute_price"),
+        a.mean(r.price, F.col(r.product) == ref).alias("reference_price"))
 
 
-def ethanol_ratio_history(df: DataFrame, r: PanelRoles) -> DataFrame:
-    out = pair_monthly_means(df, r, [r.state, r.year, r.month])
+def ethanol_ratio_history(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
+    out = pair_monthly_means(df, r, [r.state, r.year, r.month], a)
     ratio = round_he(safe_div("substitute_price", "reference_price"), 3)
     return (out.withColumn("pair_ratio", ratio)
                .withColumn("substitute_viable", F.col("pair_ratio") <= F.lit(r.pair_threshold)))
 
 
 # G12 ------------------------------------------------------------------------
-def ethanol_viability_by_state(df: DataFrame, r: PanelRoles) -> DataFrame:
-    h = ethanol_ratio_history(df, r)
+def ethanol_viability_by_state(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
+    h = ethanol_ratio_history(df, r, a)
     out = h.groupBy(r.state).agg(
         round_he(avg_fixed("pair_ratio", 3), 3).alias("ratio_mean"),
         round_he(F.min("pair_ratio"), 3).alias("ratio_min"),
@@ -169,29 +169,29 @@ def ethanol_viability_by_state(df: DataFrame, r: PanelRoles) -> DataFrame:
 
 
 # G13 ------------------------------------------------------------------------
-def variant_comparison(df: DataFrame, r: PanelRoles) -> DataFrame:
+def variant_comparison(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     df = df.filter(F.col(r.product).contains(r.variant_token))
     out = _grouped(df, [r.product, r.region], {
-        "price_mean": F.avg(r.price), "price_count": F.count(r.price),
-        "margin_pct_mean": F.avg("margin_pct")})
+        "price_mean": a.mean(r.price), "price_count": a.count(r.price),
+        "margin_pct_mean": a.mean("margin_pct")}, a=a)
     return out.withColumn("price_count", F.col("price_count").cast("long"))
 
 
 # G14 ------------------------------------------------------------------------
-def category_analysis(df: DataFrame, r: PanelRoles) -> DataFrame:
+def category_analysis(df: DataFrame, r: PanelRoles, a=ROWS) -> DataFrame:
     out = _grouped(df, [r.category, r.region], {
-        "price_mean": F.avg(r.price), "price_std": F.stddev_samp(r.price),
-        "price_count": F.count(r.price), "margin_pct_mean": F.avg("margin_pct"),
-        "n_brands": F.count_distinct(r.brand)})
+        "price_mean": a.mean(r.price), "price_std": a.std(r.price),
+        "price_count": a.count(r.price), "margin_pct_mean": a.mean("margin_pct"),
+        "n_brands": F.count_distinct(r.brand)}, a=a)
     return out.withColumn("price_count", F.col("price_count").cast("long")) \
               .withColumn("n_brands", F.col("n_brands").cast("long"))
 
 
 # G15 ------------------------------------------------------------------------
-def price_volume_elasticity(df: DataFrame, r: PanelRoles, min_months: int = 3) -> DataFrame:
+def price_volume_elasticity(df: DataFrame, r: PanelRoles, min_months: int = 3, a=ROWS) -> DataFrame:
     monthly = (not_null_keys(df, [r.product, r.year, r.month])
                .groupBy(r.product, r.year, r.month)
-               .agg(F.avg(r.price).alias("m_price"), F.count(r.cost).alias("m_volume")))
+               .agg(a.mean(r.price).alias("m_price"), a.count(r.cost).alias("m_volume")))
     out = monthly.groupBy(r.product).agg(
         safe_corr("m_price", F.col("m_volume").cast("double")).alias("price_volume_corr"),
         F.count(F.lit(1)).cast("long").alias("n_periods"),

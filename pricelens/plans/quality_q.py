@@ -51,9 +51,9 @@ def _outliers(spark, d):
 
 
 def _weighted(spark, d):
-    df = std_v1(spark, d)
-    ok = Q.schema_check(df, V1_REQUIRED)["schema_valid"]
-    return Q.weighted_score(Q.v1_checks(df, V1_REQUIRED), ok, _prices(spark, d), _outliers(spark, d))
+    return Q.run_quality_checks_v1(std_v1(spark, d), V1_REQUIRED, "valor_venda", "valor_compra", "data_coleta",
+                                   STAR_PRICE_RANGE, STAR_PRICE_RANGE, STAR_DATE_RANGE, {"region": ("regiao_sigla", STAR_REGIONS)}
+                                   )["score"].select("quality_score")
 
 
 def _schema_check(spark, d):

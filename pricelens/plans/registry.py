@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import STAR, silver_roles
 from ..functions import round_he
-from . import dashboard, gold, gold_v1, io_q, quality_q, stages
+from . import dashboard, gold, gold_v1, incremental_q, io_q, jobs_v1_q, quality_q, stages
 from . import sqlgen as S
 from .silver import silver_sql, star_silver
 
@@ -30,6 +30,8 @@ STABLE = {
     **gold_v1.STABLE,
     **quality_q.STABLE,
     **io_q.STABLE,
+    **jobs_v1_q.STABLE,
+    **incremental_q.STABLE,
     "dash_evolution": ["price_mean"],
     "dash_regional_main": ["price_mean"],
     "viability_by_state_month": ["pair_ratio"],
@@ -123,6 +125,10 @@ def registry() -> dict:
     io_sql = io_q.oracle()
     for name, fn in io_q.QUERIES.items():
         _register(reg, name, fn, io_sql.get(name))
+    for module in (jobs_v1_q, incremental_q):
+        sql = module.oracle()
+        for name, fn in module.QUERIES.items():
+            _register(reg, name, fn, sql.get(name))
     st_sql = stages.oracle()
     for name, fn in stages.QUERIES.items():
         _register(reg, name, fn, st_sql.get(name))

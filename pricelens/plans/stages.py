@@ -317,14 +317,8 @@ QUERIES = {
 }
 
 
-def oracle() -> dict:
-    txt = ", ".join(f"upper(trim({c})) AS {c}" for c in STAR_STRING_COLS)
-    nullify = ", ".join(
-        f"CASE WHEN upper(trim(CAST({c} AS VARCHAR))) IN {S.in_list(C.NULL_TEXT_TOKENS)} THEN NULL "
-        f"ELSE upper(trim(CAST({c} AS VARCHAR))) END AS {c}" for c in ["city", "station_code", "brand", "product"])
-    order_first = ", ".join(f"{c} ASC NULLS FIRST" for c in R.tiebreak)
-    order_last = ", ".join(f"{c} DESC NULLS LAST" for c in R.tiebreak)
-    tb = ", ".join(R.tiebreak)
+def v1_ctes() -> list[str]:
+    """CTEs from the raw file of the first generation to its Silver: std ... v1_silver."""
     std = f"""std AS (SELECT l_orderkey, l_linenumber,
       "Regiao - Sigla" AS regiao_sigla, "Estado - Sigla" AS estado_sigla, "Municipio" AS municipio,
       "Revenda" AS revenda, "CNPJ da Revenda" AS cnpj_revenda, "Nome da Rua" AS nome_rua, "Numero Rua" AS numero_rua,
@@ -332,12 +326,6 @@ def oracle() -> dict:
       CAST(TRY_CAST("Data da Coleta" AS TIMESTAMP) AS DATE) AS data_coleta,
       TRY_CAST("Valor de Venda" AS DOUBLE) AS valor_venda, TRY_CAST("Valor de Compra" AS DOUBLE) AS valor_compra,
       "Unidade de Medida" AS unidade_medida, "Bandeira" AS bandeira FROM raw_v1)"""
-    brand_raw = f"trim(replace(upper(trim(brand)), {S.q(C.BRAND_STRIP_TOKEN)}, ''))"
-    brand_norm = (f"CASE WHEN {brand_raw} IN {S.in_list(C.BRAND_UNBRANDED_VALUES)} "
-                  f"THEN {S.q(C.BRAND_UNBRANDED_LABEL)} ELSE {brand_raw} END")
-    sigma = ["p2 AS (SELECT * FROM panel WHERE price <= (SELECT avg(price) + 3.0 * stddev_samp(price) FROM panel))",
-             "c2 AS (SELECT * FROM p2 WHERE cost <= (SELECT avg(cost) + 3.0 * stddev_samp(cost) FROM p2))"]
-    v1cat = S.cascade("upper(produto)", C.FUEL_CATEGORY_RULES_V1, C.CATEGORY_DEFAULT, C.CATEGORY_V1_NULL)
     def nul(c):
         return (f"CASE WHEN upper(trim({c})) IN {S.in_list(C.NULL_TEXT_TOKENS)} THEN NULL ELSE upper(trim({c})) END AS {c}")
 
@@ -364,6 +352,26 @@ def oracle() -> dict:
           f"""v1_silver AS (SELECT * FROM v1_rich WHERE {" AND ".join(f"{c} IS NOT NULL" for c in C.FUEL_V1_REQUIRED)}
         QUALIFY row_number() OVER (PARTITION BY {", ".join(C.FUEL_V1_KEY)}
           ORDER BY {", ".join(f"{c} DESC NULLS LAST" for c in [*KEY, *silver_v1.TIES])}) = 1)"""]
+    return [std, *v1]
+
+
+def oracle() -> dict:
+    txt = ", ".join(f"upper(trim({c})) AS {c}" for c in STAR_STRING_COLS)
+    nullify = ", ".join(
+        f"CASE WHEN upper(trim(CAST({c} AS VARCHAR))) IN {S.in_list(C.NULL_TEXT_TOKENS)} THEN NULL "
+        f"ELSE upper(trim(CAST({c} AS VARCHAR))) END AS {c}" for c in ["city", "station_code", "brand", "product"])
+    order_first = ", ".join(f"{c} ASC NULLS FIRST" for c in R.tiebreak)
+    order_last = ", ".join(f"{c} DESC NULLS LAST" for c in R.tiebreak)
+    tb = ", ".join(R.tiebreak)
+    std, *v1 = v1_ctes()
+    brand_raw = f"trim(replace(upper(trim(brand)), {S.q(C.BRAND_STRIP_TOKEN)}, ''))"
+    brand_norm = (f"CASE WHEN {brand_raw} IN {S.in_list(C.BRAND_UNBRANDED_VALUES)} "
+                  f"THEN {S.q(C.BRAND_UNBRANDED_LABEL)} ELSE {brand_raw} END")
+    sigma = ["p2 AS (SELECT * FROM panel WHERE price <= (SELECT avg(price) + 3.0 * stddev_samp(price) FROM panel))",
+             "c2 AS (SELECT * FROM p2 WHERE cost <= (SELECT avg(cost) + 3.0 * stddev_samp(cost) FROM p2))"]
+    v1cat = S.cascade("upper(produto)", C.FUEL_CATEGORY_RULES_V1, C.CATEGORY_DEFAULT, C.CATEGORY_V1_NULL)
+    lo, hi = STAR_PRICE_RANGE
+    v1_cols = [c for c in C.FUEL_V1_RENAME.values()]
     n_null = " + ".join(f"count_if({c} IS NULL)" for c in v1_cols)   # the category is never null
     price_bad = " + ".join([f"count_if({c} IS NULL OR {c} < {lo!r} OR {c} > {hi!r})" for c in ("valor_venda", "valor_compra")]
                            + ["count_if(valor_venda <= valor_compra)"])

@@ -28,7 +28,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "pricelens", extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs (cluster jobs get theirs from the submitter)."""
     b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("PRICELENS_DRIVER_MEMORY", "8g")))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():

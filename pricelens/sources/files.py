@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -154,27 +155,44 @@ def write_run_log(spark: SparkSession, summary: dict, path: str) -> DataFrame:
     return df
 
 
+def record_counts(spark: SparkSession, frames: list[DataFrame]) -> list[int]:
+    """Rows of each of some written datasets, by one job. No column is read, so Parquet
+    answers from its footers."""
+    if not frames:
+        return []
+    tagged = [df.select(F.lit(k).alias("k")) for k, df in enumerate(frames)]
+    found = {r["k"]: r["count"] for r in reduce(DataFrame.unionByName, tagged).groupBy("k").count().collect()}
+    return [found.get(k, 0) for k in range(len(frames))]
+
+
 def catalog_entry(layer: str, dataset: str, df: DataFrame, partitioning=(), description: str = "") -> dict:
-    """The catalog's entry for a written dataset; one count, columns from its schema."""
-    return {"layer": layer, "dataset": dataset, "records": df.count(), "columns": df.columns,
+    """The catalog's entry for a written dataset; columns from its schema, rows counted later."""
+    return {"layer": layer, "dataset": dataset, "frame": df, "columns": df.columns,
             "partitioning": list(partitioning), "description": description}
 
 
 def dataset_catalog(spark: SparkSession, entries) -> DataFrame:
-    """(layer, dataset, records, columns, partitioning, description)."""
-    rows = [(e["layer"], e["dataset"], int(e["records"]), list(e["columns"]), list(e.get("partitioning", [])),
-             e.get("description", "")) for e in entries]
+    """(layer, dataset, records, columns, partitioning, description); all datasets are
+    counted by one job."""
+    entries = list(entries)
+    counted = iter(record_counts(spark, [e["frame"] for e in entries if "records" not in e]))
+    rows = [(e["layer"], e["dataset"], int(e["records"] if "records" in e else next(counted)), list(e["columns"]),
+             list(e.get("partitioning", [])), e.get("description", "")) for e in entries]
     return spark.createDataFrame(rows, "layer string, dataset string, records long, columns array<string>, "
                                        "partitioning array<string>, description string")
 
 
+def partition_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, modificationTime, length and the partition columns of a layer's files, from the
+    distributed file listing; no file is opened."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", path)
+            .load(path).drop("content"))
+
+
 def partition_inventory(spark: SparkSession, path: str, partition_cols=C.PARTITION_COLUMNS) -> DataFrame:
-    """Files and MB per partition, from file metadata only (no data columns read)."""
-    df = read_layer(spark, path)
-    files = df.select(*partition_cols, F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.groupBy(*partition_cols).agg(F.count("file").alias("files"),
-                                              (F.sum("size") / (1024.0 * 1024.0)).alias("size_mb"))
+    """Files and MB per partition, from the file listing alone."""
+    return partition_files(spark, path).groupBy(*partition_cols).agg(
+        F.count(F.lit(1)).alias("files"), (F.sum("length") / (1024.0 * 1024.0)).alias("size_mb"))
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -225,7 +243,7 @@ def layer_validation(spark: SparkSession, layers: dict) -> DataFrame:
             ok = False
             continue
         frames = [read_layer(spark, root) for root in _dataset_roots(spark, path)]
-        records = sum(df.count() for df in frames)
+        records = sum(record_counts(spark, frames))
         fs, p = _hadoop(spark, path)
         size = fs.getContentSummary(p).getLength() / (1024.0 * 1024.0)
         ok = bool(frames) and records > 0

@@ -8,8 +8,10 @@ batches or on their order. Rows without a parseable date go to a reject folder,
 sub-folder per batch, and are never dropped.
 
 Merging rewrites the (ano, mes) partitions that the batch touches, by dynamic partition
-overwrite from a staged copy under the checkpoint folder. A batch that is replayed after
-a failure finds its staged copy and writes the same files again.
+overwrite from a staged copy under the checkpoint folder. A key index (``keyindex.py``)
+says which partitions hold the batch's keys, so what a batch reads doesn't grow with the
+layer. A batch that is replayed after a failure finds its staged copy and writes the same
+files again.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..config import PanelRoles
 from ..sources import files
+from .keyindex import FIRST, KeyIndex, key_hash
 
 PARTS = list(C.PARTITION_COLUMNS)
 
@@ -30,50 +33,56 @@ def _first_by_key(df: DataFrame, keys: list[str], tiebreak: list[str]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def _same_keys(keys: list[str]):
-    out = F.lit(True)
-    for k in keys:
-        out = out & F.col(f"w.`{k}`").eqNullSafe(F.col(f"n.`{k}`"))
-    return out
-
-
 def merge_batch(batch: DataFrame, batch_id: int, out: str, rejects: str, staging: str,
-                keys: list[str], tiebreak: list[str]) -> None:
-    """Merge one batch (with technical columns) into the layer ``out``."""
+                keys: list[str], tiebreak: list[str], index: str | None = None) -> dict:
+    """Merge one batch (with technical columns) into the layer ``out``.
+
+    Which partitions hold keys of the batch comes from the key index (``<out>_keys`` by
+    default), so no batch scans the layer. Returns what was touched: partitions, and buckets
+    of the index."""
     spark = batch.sparkSession
     staged = f"{staging}/{batch_id}"
+    known = KeyIndex(spark, index or f"{out}_keys")
+    if not files.path_exists(spark, f"{staged}-rows/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(f"{staged}-rows")  # the files are parsed once
+    rows = spark.read.schema(batch.schema).parquet(f"{staged}-rows")
+    fresh = rows.filter(F.col("ano").isNotNull())
+    hashes = fresh.select(key_hash(keys).alias("key_hash")).distinct()
+    stats = {"partitions": 0, "buckets": []}
     if not files.path_exists(spark, f"{staged}/_SUCCESS"):
-        bad = batch.filter(F.col("ano").isNull())
-        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-        new = _first_by_key(batch.filter(F.col("ano").isNotNull()), keys, tiebreak)
+        rows.filter(F.col("ano").isNull()).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        new, gone = _first_by_key(fresh, keys, tiebreak), []
         if files.path_exists(spark, out):
             written = spark.read.schema(batch.schema).option("basePath", out).parquet(out)
-            fresh = new.select(*keys).distinct().alias("n")
+            if not known.state():
+                known.update(written.select(key_hash(keys).alias("key_hash"), *PARTS).distinct(), FIRST)
             # partitions that hold a key of this batch, and those its rows belong to
-            held = written.select(*keys, *PARTS).alias("w").join(fresh, _same_keys(keys), "left_semi").select(*PARTS)
-            touched = [tuple(r) for r in held.union(new.select(*PARTS)).distinct().collect()]
+            held, stats["buckets"] = known.lookup(hashes)
+            touched = [tuple(r) for r in held.union(fresh.select(*PARTS)).distinct().collect()]
             inside = F.lit(False)
             for ano, mes in touched:   # one entry per month, read as partition filters
                 inside = inside | ((F.col("ano") == ano) & (F.col("mes") == mes))
-            new = _first_by_key(written.filter(inside).unionByName(new), keys, tiebreak)
-            gone = [(ano, mes, True) for ano, mes in touched]
-        else:
-            gone = []
+            new = _first_by_key(written.filter(inside).unionByName(fresh), keys, tiebreak)
+            gone, stats["partitions"] = [(ano, mes, True) for ano, mes in touched], len(touched)
         new.write.mode("overwrite").parquet(staged)
         if gone:
             spark.createDataFrame(gone, "ano int, mes int, touched boolean").coalesce(1).write.mode("overwrite").parquet(
-                f"{staging}/{batch_id}-touched")
+                f"{staged}-touched")
     merged = spark.read.schema(batch.schema).parquet(staged)
     if not merged.isEmpty():
         files.write_layer(merged, out)
-    if files.path_exists(spark, f"{staging}/{batch_id}-touched/_SUCCESS"):
+    if files.path_exists(spark, f"{staged}-touched/_SUCCESS"):
         # a partition whose rows have all moved to another one holds nothing any more
         left = {tuple(r) for r in merged.select(*PARTS).distinct().collect()}
-        for r in spark.read.parquet(f"{staging}/{batch_id}-touched").collect():
+        for r in spark.read.parquet(f"{staged}-touched").collect():
             if (r["ano"], r["mes"]) not in left:
                 files.delete_path(spark, f"{out}/ano={r['ano']}/mes={r['mes']}")
-    files.delete_path(spark, f"{staging}/{batch_id - 1}")
-    files.delete_path(spark, f"{staging}/{batch_id - 1}-touched")
+    # after the layer: should the batch fail in between, its replay finds the old entries
+    places = merged.select(key_hash(keys).alias("key_hash"), *PARTS).join(hashes, "key_hash", "left_semi").distinct()
+    known.update(places, batch_id, replaced=hashes)
+    for part in ("", "-rows", "-touched"):
+        files.delete_path(spark, f"{staging}/{batch_id - 1}{part}")
+    return stats
 
 
 def incremental_ingest(spark: SparkSession, landing: str, schema: T.StructType, roles: PanelRoles,
