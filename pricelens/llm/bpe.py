@@ -28,6 +28,8 @@ from itertools import islice
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: The byte-level pre-token pattern that the tokenizer files are made for; letters come
 #: first, as no other alternative that could match there begins with one.
 PATTERN = r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -38,6 +40,10 @@ BLOCK = 1 << 16
 CACHE = 150_000
 #: Longer pre-tokens aren't remembered.
 CACHED_LENGTH = 64
+#: Characters of a pre-token whose ids are passed on before its end is reached.
+LONG = 4096
+#: Bytes of ids that are gathered before rows leave a task.
+KEPT = 1 << 22
 #: The rank of a pair that doesn't merge.
 NEVER = 1 << 40
 
@@ -167,24 +173,32 @@ class Transducer:
         if len(self.cache) >= CACHE:
             self.cache, self.older = {}, self.cache
 
+    def _encoded(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of some pre-tokens: of short ones together, of long ones as they become final."""
+        self._age()
+        cache, packed = self.cache, self._packed
+        if max(map(len, pieces), default=0) <= LONG:
+            yield b"".join([cache.get(p) or packed(p) for p in pieces])
+            return
+        for p in pieces:
+            if len(p) <= LONG:
+                yield cache.get(p) or packed(p)
+            else:
+                yield from (b"".join([self.packed[i] for i in ids]) for ids in self.piece(p.encode()))
+
     def encode(self, text: str) -> Iterator[bytes]:
         """Blocks of ids as little-endian unsigned 32-bit integers."""
-        packed = self._packed
         parts = self.special.split(text) if self.special and any(t in text for t in self.added) else [text]
         for k, part in enumerate(parts):
             if k % 2:
                 yield self.added[part]
                 continue
             if len(part) <= BLOCK:
-                self._age()
-                cache = self.cache
-                yield b"".join([cache.get(p) or packed(p) for p in self.pieces.findall(part)])
+                yield from self._encoded(self.pieces.findall(part))
                 continue
             found = (m[0] for m in self.pieces.finditer(part))
             while some := list(islice(found, BLOCK)):
-                self._age()
-                cache = self.cache
-                yield b"".join([cache.get(p) or packed(p) for p in some])
+                yield from self._encoded(some)
 
     def decode(self, blocks: Iterable[bytes]) -> Iterator[str]:
         """Text of blocks of ids; a character cut by a block's end waits for the next one."""
@@ -215,10 +229,17 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
     def run(batches):
         import pyarrow as pa
 
+        def rows(keys, out):
+            n_tokens, ids_sha, text_sha, kept_ids = zip(*out, strict=True)
+            columns = [keys, pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            if keep_ids:
+                columns.append(pa.array(kept_ids, pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
         t = transducer(path)
         for batch in batches:
-            out = []
-            for row in batch.column(1):
+            out, begin, size = [], 0, 0
+            for at, row in enumerate(batch.column(1)):
                 ids_hash, text_hash, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []
 
                 def ids(row=row, kept=kept, ids_hash=ids_hash):
@@ -233,12 +254,13 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
                 for piece in t.decode(ids()):
                     text_hash.update(piece.encode())
                 out.append((n, ids_hash.hexdigest(), text_hash.hexdigest(), b"".join(kept)))
-            n_tokens, ids_sha, text_sha, kept_ids = zip(*out, strict=True) if out else ((), (), (), ())
-            columns = [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
-                       pa.array(text_sha, pa.string())]
-            if keep_ids:
-                columns.append(pa.array(kept_ids, pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                size += len(out[-1][3])
+                if size > KEPT:
+                    yield rows(batch.column(0).slice(begin, len(out)), out)
+                    out, begin, size = [], at + 1, 0
+            if out:
+                yield rows(batch.column(0).slice(begin), out)
+        give_back()
 
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids

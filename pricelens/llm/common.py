@@ -34,3 +34,16 @@ def sampled(df: DataFrame, key: str, size: int, rows: int) -> DataFrame:
     if rows <= 2 * size:
         return df
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) < int(size / rows * (1 << 40)))
+
+
+def give_back() -> None:
+    """In a task: returns memory that was freed to the system. Python workers live on from
+    stage to stage, and what they keep adds up in an executor's memory."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import give_back
+
 UNKNOWN = "und"
 DOCS, PIECES, PIECE_CHARS, LEXICON, MAX_LANGUAGES = 400, 3, 600, 1000, 256
 HASHES, STEPS, RATE, DECAY = 1 << 15, 60, 0.1, 1e-4
@@ -124,6 +126,10 @@ class Field:
             self.filled = need
         return out, self.table
 
+    def forget(self) -> None:
+        """Let go of the remembered words."""
+        self.numbers, self.known, self.table = {}, {}, np.empty((0, len(self.labels)), np.float32)
+
     def batch_words(self) -> int:
         """Words that are labelled at once, in whole segments."""
         return max(1, min(BATCH_WORDS // SEGMENT, MOVE_CELLS // len(self.labels) ** 2)) * SEGMENT
@@ -353,16 +359,23 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            langs, scores = model.value.predict(texts.tolist())
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+        try:
+            for texts in batches:
+                langs, scores = model.value.predict(texts.tolist())
+                yield pd.DataFrame({"lang_pred": langs, "score": scores})
+        finally:
+            model.value.forget()
+            give_back()
 
     out = docs.withColumn("__language", label(F.col("text").cast("string")))
     return out.select(*docs.columns, "__language.lang_pred", "__language.score")
 
 
 def accept(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents whose language is known with ``min_score`` or more, columns as before."""
+    """The documents whose language is known with ``min_score`` or more, columns as before.
+    Texts go to Python alone, and the other columns stay where they are."""
     names = docs.columns
-    labelled = identify(docs.select(F.struct(*names).alias("row"), "text"), fit(docs))
-    return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name clashes with what is added
+    labelled = identify(plain.withColumn("text", F.col(f"c{names.index('text')}")), fit(docs))
+    kept = labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return kept.select(*[F.col(f"c{k}").alias(name) for k, name in enumerate(names)])

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import give_back, stored
 
 MIN_WORDS = 10
 #: Size of the Bloom filter: 2**BLOOM_BITS bits, 4 MB.
@@ -113,11 +113,12 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                     if words := line_words(line):
                         rows.append((doc_id, text_hash, pos, *line_hash(words),
                                      half_keys(words) if len(words) >= min_words else None))
-                if len(rows) > 50_000:
+                if len(rows) > 10_000:
                     yield _batch(rows, pa)
                     rows = []
             if rows:
                 yield _batch(rows, pa)
+        give_back()
 
     return _keyed(docs).mapInArrow(run, "doc_id long, text_hash long, pos int, h1 long, h2 long, halves array<long>")
 
@@ -174,6 +175,7 @@ def _suspects(docs: DataFrame, lines: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string()),
                                                         strict=True)], names=["h1", "h2", "line"])
+        give_back()
 
     found = _keyed(docs).select("text").mapInArrow(run, "h1 long, h2 long, line string").distinct()
     return stored(found.join(wanted, "h1", "left_semi"), "suspect_lines")
@@ -195,6 +197,7 @@ def _variants(suspects: DataFrame) -> DataFrame:
                         [pa.array(np.concatenate(keys)), pa.array(np.repeat(h1[begin : k + 1], counts)),
                          pa.array(np.repeat(h2[begin : k + 1], counts))], names=["variant", "h1", "h2"])
                     keys, begin, size = [], k + 1, 0
+        give_back()
 
     return suspects.select("h1", "h2", "line").mapInArrow(run, "variant long, h1 long, h2 long")
 

@@ -89,3 +89,12 @@ def test_rows(spark, library):
         want.append((doc_id, len(some) // 4, hashlib.sha256(some).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest(), bytearray(some)))
     assert got == sorted(want, key=str)
     assert bpe.round_trip(df.limit(0), bpe.default_path()).collect() == []
+
+
+def test_ids_of_a_long_word_leave_before_its_end(ours, library):
+    """A pre-token of any length passes its ids on piece by piece."""
+    word = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(60_000))
+    blocks = list(ours.encode("a " + word + " b"))
+    assert len(blocks) > 50 and max(map(len, blocks)) < 4 * bpe.LONG
+    ids = np.frombuffer(b"".join(blocks), "<u4").tolist()
+    assert ids == library.encode("a " + word + " b", add_special_tokens=False).ids
