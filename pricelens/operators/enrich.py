@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import PanelRoles
 from ..functions import band, contains_cascade, round_he, safe_div
+from .clean import materialize
 
 
 def temporal_dimensions(df: DataFrame, roles: PanelRoles, v1: bool = True) -> DataFrame:
@@ -69,20 +70,41 @@ def price_band(df: DataFrame, roles: PanelRoles, out: str = "price_band") -> Dat
     return df.withColumn(out, band(roles.price, list(roles.band_edges), C.BAND_LABELS))
 
 
+#: Groups whose means are broadcast to the rows; beyond it rows and means are salted.
+BROADCAST_GROUPS = 100_000
+#: Pieces that the rows of a group are dealt into, by their key.
+SALTS = 64
+
+
+def join_back(df: DataFrame, means: DataFrame, keys: list, row_key) -> DataFrame:
+    """``df`` with the columns of ``means``, a row a group, by ``keys``.
+
+    The means are checkpointed and counted. Up to ``BROADCAST_GROUPS`` they go to the rows,
+    which then aren't shuffled; beyond it the rows of every group are dealt into ``SALTS``
+    pieces by ``row_key`` and the means are repeated for each, so that a group which holds a
+    third of the rows is no single task's."""
+    means = materialize(means)
+    if means.count() <= BROADCAST_GROUPS:
+        return df.join(F.broadcast(means), keys, "left")
+    salt = F.pmod(F.xxhash64(*row_key), F.lit(SALTS)).cast("int")
+    many = means.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_salt", salt).join(many, [*keys, "_salt"], "left").drop("_salt")
+
+
 def pairwise_viability(df: DataFrame, roles: PanelRoles, product: str = "product_norm",
-                       out: str = "pair_viable") -> DataFrame:
+                       out: str = "pair_viable", measured: bool = False) -> DataFrame:
     """Flag substitute rows whose price / (mean reference price, same state and
     day) is <= threshold; null when not the substitute or no reference price.
 
     The O(n^2) per-row lookup becomes aggregate-then-join: the reference means
-    are one row per (state, day); AQE broadcasts them when small, otherwise the
-    sort-merge join splits skewed keys.
+    are one row per (state, day). ``measured`` counts them first (``join_back``), which the
+    Silver job does on its checkpointed rows; else AQE broadcasts them when small.
     """
     sub, ref = roles.pair
     keys = [roles.state, roles.date]
     means = (df.filter(F.col(product) == ref)
                .groupBy(*keys).agg(F.avg(roles.price).alias("_ref_mean")))
-    x = df.join(means, keys, "left")
+    x = join_back(df, means, keys, roles.key) if measured else df.join(means, keys, "left")
     ratio = safe_div(F.col(roles.price), F.col("_ref_mean"))
     flag = F.when((F.col(product) == sub) & F.col("_ref_mean").isNotNull(),
                   ratio <= F.lit(roles.pair_threshold))
@@ -93,21 +115,21 @@ def regional_price_index(df: DataFrame, roles: PanelRoles, region: str = "region
                          product: str = "product_norm", out: str = "regional_price_index") -> DataFrame:
     """price / mean(price of the row's region x product) * 100, 2 dp (v1).
 
-    Aggregate then join back, instead of a window over raw rows, so a hot
+    Aggregate then join back (``join_back``), instead of a window over raw rows, so a hot
     (region, product) never lands whole in one task.
     """
     keys = [region, product]
     means = df.groupBy(*keys).agg(F.avg(roles.price).alias("_grp_mean"))
-    return (df.join(means, keys, "left")
+    return (join_back(df, means, keys, roles.key)
               .withColumn(out, round_he(safe_div(F.col(roles.price), F.col("_grp_mean")) * 100.0, 2))
               .drop("_grp_mean"))
 
 
-def silver_enrich(df: DataFrame, roles: PanelRoles) -> DataFrame:
+def silver_enrich(df: DataFrame, roles: PanelRoles, measured: bool = False) -> DataFrame:
     """Calendar, margins, category, brand size, pair viability, price band."""
     df = temporal_dimensions(df, roles)
     df = margin_metrics(df, roles)
     df = categorize_product(df, roles)
     df = brand_size(df, roles)
-    df = pairwise_viability(df, roles)
+    df = pairwise_viability(df, roles, measured=measured)
     return price_band(df, roles)

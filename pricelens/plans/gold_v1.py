@@ -168,13 +168,30 @@ def product_penetration(df: DataFrame, r: PanelRoles) -> DataFrame:
 
 
 # N13 ------------------------------------------------------------------------
-def dashboard_metrics(df: DataFrame, r: PanelRoles) -> DataFrame:
-    """Latest month per product vs the previous calendar month, plus a GERAL row."""
+def _month_of_layer(df: DataFrame, r: PanelRoles, ano: int, mes: int) -> DataFrame:
+    """A month's rows by partition values; a row whose date lies in another month is an error."""
+    rows = df.filter((F.col("ano") == ano) & (F.col("mes") == mes))
+    right = F.coalesce((F.year(r.date) == ano) & (F.month(r.date) == mes), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit(f"partition ano={ano}/mes={mes} holds a row of "), F.coalesce(F.col(r.date).cast("string"), F.lit("no date"))))
+    return rows.filter(F.when(right, F.lit(True)).otherwise(wrong.cast("boolean")))
+
+
+def dashboard_metrics(df: DataFrame, r: PanelRoles, latest: tuple[int, int] | None = None) -> DataFrame:
+    """Latest month per product vs the previous calendar month, plus a GERAL row.
+
+    ``latest``: the latest (ano, mes) of a layer partitioned by them, so that both months are
+    read by partition; without it they follow from the largest date."""
     df = v1_margin(df)
-    mx = df.agg(F.max(r.date)).scalar()
-    month0 = F.trunc(F.col(r.date), "MM")
-    cur = not_null_keys(df.filter(month0 == F.trunc(mx, "MM")), [r.product])
-    prev = not_null_keys(df.filter(month0 == F.add_months(F.trunc(mx, "MM"), -1)), [r.product])
+    if latest is None:
+        mx = df.agg(F.max(r.date)).scalar()
+        month0 = F.trunc(F.col(r.date), "MM")
+        cur, prev = df.filter(month0 == F.trunc(mx, "MM")), df.filter(month0 == F.add_months(F.trunc(mx, "MM"), -1))
+    else:
+        ano, mes = latest
+        cur = _month_of_layer(df, r, ano, mes)
+        prev = _month_of_layer(df, r, *((ano, mes - 1) if mes > 1 else (ano - 1, 12)))
+        mx = cur.agg(F.max(r.date)).scalar()
+    cur, prev = not_null_keys(cur, [r.product]), not_null_keys(prev, [r.product])
     stats = agg_with_quantiles(cur, [r.product], [
         F.avg(r.price).alias("price_mean_current"), F.count(F.lit(1)).alias("n_obs"),
         F.count_distinct(r.state).alias("n_states"), F.count_distinct(r.region).alias("n_regions"),

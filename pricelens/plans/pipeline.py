@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import PanelRoles, silver_roles
 from ..operators import quality as Q
+from ..operators.clean import materialize
 from ..sources import files
 from . import gold
 from .silver import build_silver
@@ -91,14 +92,15 @@ def run_bronze(spark: SparkSession, raw: DataFrame, roles: PanelRoles, out: str,
     t0 = time.time()
     try:
         score, issues = None, []
+        # computed once: report, rejects and layer read the checkpointed rows
+        b = materialize(add_technical_columns(raw, roles, load_ts=load_ts, source_file=source_file, date_source=date_source))
         if rules is not None:
             # Q8: the raw rule set; below the minimum score the issues are
             # reported (the data is still ingested, as in the source design).
-            report = Q.quality_report(raw, rules, keys)
+            report = Q.quality_report(b.select(*[Q.qc(c) for c in raw.columns]), rules, keys)
             score = Q.overall_score(report).first()["overall_score"]
             if score < C.MIN_QUALITY_SCORE:
                 issues = [r["issue"] for r in Q.quality_issues(report).collect()]
-        b = add_technical_columns(raw, roles, load_ts=load_ts, source_file=source_file, date_source=date_source)
         bad = f"{out.rstrip('/')}_rejects"
         seen = Observation()
         (b.filter(F.col("ano").isNull()).observe(seen, F.count(F.lit(1)).alias("rejected"))

@@ -20,7 +20,7 @@ def build_silver(df: DataFrame, roles: PanelRoles, date_source: str | None = Non
     deduplicated rows instead of re-running the joins for each sigma pass."""
     df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint)
     df = silver_normalize(df, roles)
-    return silver_enrich(df, roles)
+    return silver_enrich(df, roles, measured=checkpoint)
 
 
 def star_silver(spark: SparkSession, sf_dir: str, roles: PanelRoles = STAR) -> DataFrame:

@@ -189,6 +189,13 @@ def partition_files(spark: SparkSession, path: str) -> DataFrame:
             .load(path).drop("content"))
 
 
+def latest_month(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """The latest (ano, mes) of a layer that has a file, from the listing."""
+    ym = F.struct(*[F.col(c).cast("int").alias(c) for c in C.PARTITION_COLUMNS])
+    got = partition_files(spark, path).where("ano IS NOT NULL AND mes IS NOT NULL").agg(F.max(ym).alias("ym")).first()["ym"]
+    return (got["ano"], got["mes"]) if got is not None else None
+
+
 def partition_inventory(spark: SparkSession, path: str, partition_cols=C.PARTITION_COLUMNS) -> DataFrame:
     """Files and MB per partition, from the file listing alone."""
     return partition_files(spark, path).groupBy(*partition_cols).agg(
