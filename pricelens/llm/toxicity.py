@@ -8,13 +8,14 @@ prior of a word shares ``PRIOR`` documents between the labels as its stem does,
 as all documents do. So an unseen form of a toxic stem scores, a word seen once hardly does.
 
 Search. A text's scores, less the text's own median (within bounds) and ``DRIFT``, are negative
-on the whole. All its maximal scoring segments are found in one pass that looks at each run
+on the whole; a word that returned within ``NEAR`` tokens
+counts nothing. All its maximal scoring segments are found in one pass that looks at each run
 of positive scores once (Ruzzo and Tompa's linear-time algorithm).
 
 Calibration. On a part of the sample that nothing was counted from, the best segments of clean
 texts give the two parameters of the extreme-value law: a segment of score S in n tokens is
 expected K n exp(-lambda S) times by chance. Segments with an expectation of ``SIGNIFICANT``
-or less are passages. The r best segments together have a p-value by the law of the sum of
+or less are passages. The r best passages together have a p-value by the law of the sum of
 their normalised scores; a text's evidence is the least over r, as -log p, and its score a
 logistic function of its logarithm, fitted on the same part with the labels' own weights.
 
@@ -41,7 +42,7 @@ from .common import stored
 
 #: Sampled documents of a label (about), buckets of words and of stems, letters of a stem.
 DOCS, WORDS, STEMS, STEM = 16_000, 1 << 18, 1 << 16, 4
-PRIOR, DRIFT, SIGNIFICANT = 8.0, 1.0, 0.01
+PRIOR, DRIFT, SIGNIFICANT, NEAR = 8.0, 1.0, 0.05, 50
 #: Most that a text's median score takes off each of its tokens, remembered forms, characters read at once.
 MEDIAN, CACHE_FORMS, PIECE = 1.0, 150_000, 1 << 20
 _LETTERS, _GAP, _TOKEN = re.compile(r"[^\W\d_]+"), re.compile(r"\s"), re.compile(r"\S+")
@@ -121,7 +122,7 @@ class Model:
         return sum(self.word(w) for w in _LETTERS.findall(form.lower()))
 
     def scores(self, text: str) -> np.ndarray:
-        cache, out = self.cache, []
+        cache, out, at, high = self.cache, [], 0, []
         for some in tokens(text):
             try:
                 s = [cache[t] for t in some]
@@ -131,9 +132,21 @@ class Model:
                 new = {t: self.form(t) for t in set(some) if t not in cache}
                 s = [new[t] if t in new else cache[t] for t in some]
                 cache.update(new)
-            out.append(np.array(s, np.float32))
-        s = np.concatenate(out) if out else np.empty(0, np.float32)
-        return s - (min(max(float(np.median(s)), 0.0), MEDIAN) + DRIFT) if len(s) else s
+            s = np.array(s, np.float32)
+            high += [(at + k, some[k].lower()) for k in np.flatnonzero(s > DRIFT).tolist()]
+            out.append(s)
+            at += len(s)
+        if not at:
+            return np.empty(0, np.float32)
+        s = np.concatenate(out)
+        s -= min(max(float(np.median(s)), 0.0), MEDIAN) + DRIFT
+        last: dict[str, int] = {}
+        for k, form in high:
+            # documents were counted, not occurrences: a word that soon returns is no news
+            if s[k] > 0 and k - last.get(form, -NEAR - 1) <= NEAR:
+                s[k] = 0.0
+            last[form] = k
+        return s
 
     def expected(self, score: float, n: int) -> float:
         return self.k * n * math.exp(-self.rate * score)
@@ -144,7 +157,7 @@ class Model:
         best, total = 0.0, 0.0
         for r, s in enumerate(sorted((x[2] for x in found), reverse=True), 1):
             one = self.rate * s - math.log(self.k * n)
-            if one <= 0:
+            if one < -math.log(SIGNIFICANT):
                 break
             total += one
             log_p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
