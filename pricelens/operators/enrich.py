@@ -125,11 +125,13 @@ def regional_price_index(df: DataFrame, roles: PanelRoles, region: str = "region
               .drop("_grp_mean"))
 
 
-def silver_enrich(df: DataFrame, roles: PanelRoles, measured: bool = False) -> DataFrame:
-    """Calendar, margins, category, brand size, pair viability, price band."""
+def silver_enrich(df: DataFrame, roles: PanelRoles, measured: bool = False, viability: bool = True) -> DataFrame:
+    """Calendar, margins, category, brand size, pair viability, price band. Without
+    ``viability`` its flag, and the join that it takes, are left out."""
     df = temporal_dimensions(df, roles)
     df = margin_metrics(df, roles)
     df = categorize_product(df, roles)
     df = brand_size(df, roles)
-    df = pairwise_viability(df, roles, measured=measured)
+    if viability:
+        df = pairwise_viability(df, roles, measured=measured)
     return price_band(df, roles)

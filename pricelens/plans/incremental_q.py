@@ -15,8 +15,9 @@ from . import sqlgen as S
 SR = silver_roles(STAR)
 #: The month whose prices change, and the one that goes.
 CHANGED, GONE = (1996, 3), (1996, 5)
-DATASETS = ["monthly_price_evolution", "seasonality", "annual_trends", "state_price_ranking", "regional_analysis",
-            "brand_positioning", "category_analysis", "ethanol_ratio_history"]
+#: One dataset of each family, so that means, deviations, medians, distinct counts and ranges
+#: are all merged; tests hold all fifteen against a full run.
+DATASETS = ["monthly_price_evolution", "regional_analysis", "brand_positioning", "category_analysis"]
 
 
 def changed_layer(spark, d) -> tuple[str, str, list]:
@@ -52,4 +53,4 @@ def oracle() -> dict:
             for n in DATASETS}
 
 
-STABLE = {"incremental_ethanol_ratio_history": ["substitute_price", "reference_price"]}
+STABLE = {}
