@@ -14,19 +14,20 @@ from . import sqlgen as S
 
 
 def build_silver(df: DataFrame, roles: PanelRoles, date_source: str | None = None,
-                 checkpoint: bool = False, viability: bool = True) -> DataFrame:
+                 checkpoint: bool | str = False, viability: bool = True, written: bool = False) -> DataFrame:
     """R5 -> R6 -> R7. Lazy by default, so a query that needs five columns
-    reads five; the Silver job (which writes every column) checkpoints the
-    deduplicated rows instead of re-running the joins for each sigma pass."""
-    df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint)
+    reads five; a job that writes every column checkpoints the rows, or names
+    rows that are ``written``, instead of re-running the joins for each sigma pass."""
+    df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint, written=written)
     df = silver_normalize(df, roles)
-    return silver_enrich(df, roles, measured=checkpoint, viability=viability)
+    return silver_enrich(df, roles, measured=bool(checkpoint) or written, viability=viability)
 
 
-def star_silver(spark: SparkSession, sf_dir: str, roles: PanelRoles = STAR, viability: bool = True) -> DataFrame:
-    """Silver of the star panel; a query that doesn't look at the viability flag leaves it out,
+def star_silver(spark: SparkSession, sf_dir: str, roles: PanelRoles = STAR, viability: bool = True,
+                checkpoint: bool | str = False) -> DataFrame:
+    """Silver of the star panel (``checkpoint`` as in ``build_silver``); a query that doesn't look at the viability flag leaves it out,
     as Catalyst keeps its join (and the second panel behind it) even if no one reads the flag."""
-    return build_silver(star_panel(spark, sf_dir), roles, viability=viability)
+    return build_silver(star_panel(spark, sf_dir), roles, checkpoint=checkpoint, viability=viability)
 
 
 STAR_STRING_COLS = ["region", "state", "city", "station_code", "product", "brand",
