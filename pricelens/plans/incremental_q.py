@@ -23,8 +23,10 @@ DATASETS = ["monthly_price_evolution", "regional_analysis", "brand_positioning",
 def changed_layer(spark, d) -> tuple[str, str, list]:
     """(Silver's path, the states' path, the months of the last refresh)."""
     layer, root = scratch_path(spark, "silver"), scratch_path(spark, "gold-states")
-    silver = star_silver(spark, d).withColumns({"ano": F.col("year"), "mes": F.col("month")})
-    files.write_layer(silver, layer)
+    rows = scratch_path(spark, "rows")
+    silver = star_silver(spark, d, checkpoint=rows).withColumns({"ano": F.col("year"), "mes": F.col("month")})
+    files.write_layer(silver, layer, clustered=True)
+    files.delete_path(spark, rows)
     incremental_gold.refresh(spark, layer, SR, root)
     staged = scratch_path(spark, "silver-month")
     month = files.read_layer(spark, layer).where((F.col("ano") == CHANGED[0]) & (F.col("mes") == CHANGED[1]))
