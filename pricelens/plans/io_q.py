@@ -99,9 +99,10 @@ def q_bronze_scan(spark, d):
 
 
 def _silver(spark, d):
-    path = scratch_path(spark, "silver")
-    s = star_silver(spark, d).withColumns({"ano": F.col("year"), "mes": F.col("month")})
-    files.write_layer(s, path)
+    path, rows = scratch_path(spark, "silver"), scratch_path(spark, "rows")
+    s = star_silver(spark, d, checkpoint=rows).withColumns({"ano": F.col("year"), "mes": F.col("month")})
+    files.write_layer(s, path, clustered=True)
+    files.delete_path(spark, rows)
     return path
 
 
@@ -120,15 +121,15 @@ def q_dashboard_metrics_layer(spark, d):
     return gold_v1.dashboard_metrics(files.read_layer(spark, path), silver_roles(STAR), files.latest_month(spark, path))
 
 
-def _gold(spark, d, root):
-    s = files.read_layer(spark, _silver(spark, d))
+def _gold(spark, silver, root):
+    s = files.read_layer(spark, silver)
     sr = silver_roles(STAR)
     ds = {n: (cat, gold.QUERIES[n](s, sr)) for cat, ns in pipeline.GOLD_FAMILIES.items() for n in ns}
     return files.write_gold(ds, root)
 
 
 def q_gold_write(spark, d):
-    out = _gold(spark, d, scratch_path(spark, "gold"))
+    out = _gold(spark, _silver(spark, d), scratch_path(spark, "gold"))
     return out.select("category", "dataset", "records", F.col("path").isNotNull().alias("written"))
 
 
@@ -139,9 +140,8 @@ def q_partition_inventory(spark, d):
 
 def q_layer_validation(spark, d):
     """The written layers, Gold with all its datasets, and the same with a layer missing."""
-    gold_root = scratch_path(spark, "gold")
-    _gold(spark, d, gold_root)
-    bronze, silver = _bronze(spark, d), _silver(spark, d)
+    gold_root, bronze, silver = scratch_path(spark, "gold"), _bronze(spark, d), _silver(spark, d)
+    _gold(spark, silver, gold_root)
     good = files.layer_validation(spark, {"bronze": bronze, "silver": silver, "gold": gold_root})
     bad = files.layer_validation(spark, {"bronze": bronze, "silver": f"{silver}-missing", "gold": gold_root})
     both = good.withColumn("case", F.lit("all")).unionByName(bad.withColumn("case", F.lit("missing")))
@@ -149,12 +149,12 @@ def q_layer_validation(spark, d):
 
 
 def q_dataset_catalog(spark, d):
-    gold_root = scratch_path(spark, "gold")
-    written = _gold(spark, d, gold_root)
+    gold_root, silver = scratch_path(spark, "gold"), _silver(spark, d)
+    written = _gold(spark, silver, gold_root)
     out = files.dataset_catalog(spark, [
         files.catalog_entry("bronze", "observations", files.read_layer(spark, _bronze(spark, d)),
                             C.PARTITION_COLUMNS, "raw rows with technical columns"),
-        files.catalog_entry("silver", "observations", files.read_layer(spark, _silver(spark, d)),
+        files.catalog_entry("silver", "observations", files.read_layer(spark, silver),
                             C.PARTITION_COLUMNS, "cleaned, normalised, enriched rows"),
         *[files.catalog_entry("gold", r["dataset"], files.read_gold(spark, gold_root, r["dataset"], r["category"]),
                               (), pipeline.GOLD_DESCRIPTIONS[r["dataset"]]) for r in written.collect() if r["path"]],
