@@ -221,7 +221,7 @@ def q_incremental_ingest(spark, d):
     raw = dirty_raw_v2(star_panel(spark, d))
     again = raw.filter("l_orderkey % 3 = 0").withColumn("Valor_Venda", F.col("Valor_Venda") + 1.0)
     landing = scratch_path(spark, "raw-csv")
-    files.write_csv(raw.unionByName(again).repartition(8, "Produto", "l_linenumber"), landing)
+    files.write_csv(raw.unionByName(again).repartition(8, "Produto", "l_linenumber"), landing, compression="gzip")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     incremental_ingest(spark, landing, RAW_V2_SCHEMA, V2_ROLES, out, ckpt, max_files_per_trigger=3).awaitTermination()
     return files.read_layer(spark, out).select(*KEY, *C.FUEL_RAW_COLUMNS, "data_coleta_parsed", "ano", "mes")

@@ -16,12 +16,13 @@ files again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..config import PanelRoles
+from ..operators.clean import dedup
 from ..sources import files
 from .keyindex import FIRST, KeyIndex, key_hash
 
@@ -29,8 +30,7 @@ PARTS = list(C.PARTITION_COLUMNS)
 
 
 def _first_by_key(df: DataFrame, keys: list[str], tiebreak: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return dedup(df, keys, tiebreak, "first")
 
 
 def merge_batch(batch: DataFrame, batch_id: int, out: str, rejects: str, staging: str,
@@ -44,7 +44,7 @@ def merge_batch(batch: DataFrame, batch_id: int, out: str, rejects: str, staging
     staged = f"{staging}/{batch_id}"
     known = KeyIndex(spark, index or f"{out}_keys")
     if not files.path_exists(spark, f"{staged}-rows/_SUCCESS"):
-        batch.write.mode("overwrite").parquet(f"{staged}-rows")  # the files are parsed once
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{staged}-rows")  # the files are parsed once
     rows = spark.read.schema(batch.schema).parquet(f"{staged}-rows")
     fresh = rows.filter(F.col("ano").isNotNull())
     hashes = fresh.select(key_hash(keys).alias("key_hash")).distinct()
@@ -64,7 +64,7 @@ def merge_batch(batch: DataFrame, batch_id: int, out: str, rejects: str, staging
                 inside = inside | ((F.col("ano") == ano) & (F.col("mes") == mes))
             new = _first_by_key(written.filter(inside).unionByName(fresh), keys, tiebreak)
             gone, stats["partitions"] = [(ano, mes, True) for ano, mes in touched], len(touched)
-        new.write.mode("overwrite").parquet(staged)
+        new.write.mode("overwrite").option("compression", "zstd").parquet(staged)
         if gone:
             spark.createDataFrame(gone, "ano int, mes int, touched boolean").coalesce(1).write.mode("overwrite").parquet(
                 f"{staged}-touched")
