@@ -5,11 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pricelens import config as C
 from pricelens.functions import quantiles
 from pricelens.operators import clean
-from pricelens.plans import jobs_v1_q
-from pricelens.session import compiled_code
+from pricelens.plans import jobs_v1, jobs_v1_q, silver_v1
+from pricelens.session import SORTED_BYTES, compiled_code, small_splits
 from pricelens.sources import files
+from pricelens.sources.panel import padded
 
 SF = "/root/testdata/sf0.001"
 
@@ -100,3 +102,60 @@ def test_clustered_layer_has_few_files(spark, tmp_path):
     files.write_layer(rows, str(tmp_path / "layer"), clustered=True)
     n = files.partition_files(spark, str(tmp_path / "layer")).count()
     assert files.read_layer(spark, str(tmp_path / "layer")).count() == 2000 and n <= 24
+
+
+def _raw_v1(spark, n=400):
+    """First-generation raw rows: every third key occurs twice, some rows lack a price or a state."""
+    rows = []
+    for i in range(n):
+        row = {"Regiao - Sigla": "SE", "Estado - Sigla": None if i % 17 == 0 else ("SP", "RJ", "BA")[i % 3], "Municipio": f"c{i % 7}",
+               "Revenda": f"posto {i}", "Produto": "GASOLINA" if i % 2 else "ETANOL", "Data da Coleta": f"202{i % 3}-0{i % 9 + 1}-05",
+               "Valor de Venda": "x" if i % 13 == 0 else str(4 + i / 100), "Valor de Compra": "3.5", "Bandeira": "SHELL"}
+        rows += [row] if i % 3 else [row, row | {"Valor de Compra": "3.75"}]
+    cols = C.FUEL_V1_RAW_COLUMNS
+    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], ", ".join(f"`{c}` string" for c in cols))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_v1_silver_shuffles_no_rows_once_written(spark):
+    raw = _raw_v1(spark)
+    lazy = silver_v1.build_silver_v1(raw)
+    for by in ([], jobs_v1.silver_parts()):
+        got = silver_v1.build_silver_v1(raw, by=by)
+        assert got.columns == lazy.columns and _rows(got) == _rows(lazy)
+        assert "hashpartitioning" not in _plan(got)
+    written = clean.write_rows(raw)
+    assert _rows(silver_v1.build_silver_v1(written, by=[], written=True)) == _rows(lazy)
+
+
+def test_v1_dedup_orders_rows_before_the_calendar(spark):
+    name = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "500")
+    try:
+        plan = _plan(silver_v1.build_silver_v1(_raw_v1(spark)))
+    finally:
+        spark.conf.set(name, before)
+    assert plan.index("day_name") < plan.index("Window [")  # above it in the plan
+    assert "day_name" not in plan[plan.index("Window ["):]
+
+
+def test_keys_are_padded_as_a_formatter_does(spark):
+    df = spark.createDataFrame([(k,) for k in (0, 7, 99, 100, 12345, -1, -12345, None)], "k long")
+    got = df.select(padded("k", 2).alias("a"), F.format_string("%02d", "k").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+
+
+def test_small_splits_hold_while_a_clustered_layer_is_written(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with small_splits(spark):
+        assert int(spark.conf.get(name)) <= SORTED_BYTES
+    assert spark.conf.get(name) == before
