@@ -147,6 +147,21 @@ def test_v1_dedup_orders_rows_before_the_calendar(spark):
     assert "day_name" not in plan[plan.index("Window ["):]
 
 
+def test_run_v1_silver_is_written_from_bronze_as_it_lies(spark, monkeypatch, tmp_path):
+    shuffled, plain = {}, files.write_layer
+
+    def seen(df, path, parts=C.PARTITION_COLUMNS, mode="overwrite", clustered=False):
+        shuffled[path.rsplit("/", 1)[1]] = not clustered
+        return plain(df, path, parts, mode, clustered)
+
+    monkeypatch.setattr(files, "write_layer", seen)
+    raw = _raw_v1(spark)
+    got = {r["layer"]: r for r in jobs_v1.run(spark, raw, str(tmp_path), "b", "2024-01-01 00:00:00", "raw",
+                                              roles=jobs_v1_q.ROLES).collect()}
+    assert shuffled == {"bronze": True, "observations": False}
+    assert got["silver"]["records"] == silver_v1.build_silver_v1(raw).count() and got["gold"]["status"] == "completed", got
+
+
 def test_keys_are_padded_as_a_formatter_does(spark):
     df = spark.createDataFrame([(k,) for k in (0, 7, 99, 100, 12345, -1, -12345, None)], "k long")
     got = df.select(padded("k", 2).alias("a"), F.format_string("%02d", "k").alias("b")).collect()
