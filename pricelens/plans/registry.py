@@ -71,13 +71,13 @@ def _sql(entry):
 
 def _on_silver(fn):
     def run(spark, sf_dir):
-        return fn(star_silver(spark, sf_dir, viability=False), SR)
+        return fn(star_silver(spark, sf_dir, viability=False, checkpoint=True), SR)
     return run
 
 
 def _on_dash(fn):
     def run(spark, sf_dir):
-        return fn(dashboard.dash_frame(star_silver(spark, sf_dir, viability=False), SR), SR)
+        return fn(dashboard.dash_frame(star_silver(spark, sf_dir, viability=False, checkpoint=True), SR), SR)
     return run
 
 
@@ -114,10 +114,10 @@ def registry() -> dict:
     _register(reg, "dash_brand_avg", _on_silver(D.dash_brand_avg), _sql(d_sql["dash_brand_avg"]))
     _register(reg, "top_k_ranking", _on_silver(D.top_k_ranking), _sql(d_sql["top_k_ranking"]))
     _register(reg, "slice_filter",
-              lambda spark, d: D.slice_filter(D.dash_frame(star_silver(spark, d, viability=False), SR), **SLICE),
+              lambda spark, d: D.slice_filter(D.dash_frame(star_silver(spark, d, viability=False, checkpoint=True), SR), **SLICE),
               _sql(d_sql["slice_filter"]))
     _register(reg, "latest_years_slice",
-              lambda spark, d: D.latest_years_slice(D.dash_frame(star_silver(spark, d, viability=False), SR)),
+              lambda spark, d: D.latest_years_slice(D.dash_frame(star_silver(spark, d, viability=False, checkpoint=True), SR)),
               _sql(d_sql["latest_years_slice"]))
     q_sql = quality_q.oracle()
     for name, fn in quality_q.QUERIES.items():

@@ -9,16 +9,17 @@ from ..config import STAR, PanelRoles
 from ..operators.clean import silver_clean
 from ..operators.enrich import silver_enrich
 from ..operators.normalize import silver_normalize
-from ..sources.panel import PANEL_SQL, star_panel
+from ..sources.panel import PANEL_SQL, star_columns, star_rows
 from . import sqlgen as S
 
 
 def build_silver(df: DataFrame, roles: PanelRoles, date_source: str | None = None,
-                 checkpoint: bool | str = False, viability: bool = True, written: bool = False) -> DataFrame:
+                 checkpoint: bool | str = False, viability: bool = True, written: bool = False, derive=None) -> DataFrame:
     """R5 -> R6 -> R7. Lazy by default, so a query that needs five columns
     reads five; a job that writes every column checkpoints the rows, or names
     rows that are ``written``, instead of re-running the joins for each sigma pass."""
-    df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint, written=written)
+    df = silver_clean(df, roles, date_source=date_source, checkpoint=checkpoint, written=written,
+                      derive=derive)
     df = silver_normalize(df, roles)
     return silver_enrich(df, roles, measured=bool(checkpoint) or written, viability=viability)
 
@@ -27,7 +28,10 @@ def star_silver(spark: SparkSession, sf_dir: str, roles: PanelRoles = STAR, viab
                 checkpoint: bool | str = False) -> DataFrame:
     """Silver of the star panel (``checkpoint`` as in ``build_silver``); a query that doesn't look at the viability flag leaves it out,
     as Catalyst keeps its join (and the second panel behind it) even if no one reads the flag."""
-    return build_silver(star_panel(spark, sf_dir), roles, checkpoint=checkpoint, viability=viability)
+    rows = star_rows(spark, sf_dir)
+    if not {*roles.key, *roles.tiebreak} <= {*rows.columns}:  # a dedup by computed columns comes after them
+        return build_silver(star_columns(rows), roles, checkpoint=checkpoint, viability=viability)
+    return build_silver(rows, roles, checkpoint=checkpoint, viability=viability, derive=star_columns)
 
 
 STAR_STRING_COLS = ["region", "state", "city", "station_code", "product", "brand",

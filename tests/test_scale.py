@@ -5,13 +5,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from pricelens import config as C
+from pricelens.config import STAR
 from pricelens.functions import quantiles
 from pricelens.operators import clean
 from pricelens.plans import jobs_v1, jobs_v1_q, silver_v1
+from pricelens.plans.silver import build_silver, star_silver
 from pricelens.session import SORTED_BYTES, compiled_code, small_splits
 from pricelens.sources import files
-from pricelens.sources.panel import padded
+from pricelens.sources.panel import padded, star_panel, star_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -174,3 +177,70 @@ def test_small_splits_hold_while_a_clustered_layer_is_written(spark):
     with small_splits(spark):
         assert int(spark.conf.get(name)) <= SORTED_BYTES
     assert spark.conf.get(name) == before
+
+
+def test_many_repeated_keys_are_told_by_a_filter(spark, monkeypatch):
+    """Past the broadcast bound only the rows of repeated keys are put in order, and few others."""
+    monkeypatch.setattr(clean, "REPEATED_KEYS", 10)
+    df = clean.write_rows(spark.range(6000).select((F.when(F.col("id") < 4000, F.col("id")).otherwise(F.col("id") % 400)).alias("k"),
+                                                   F.col("id").alias("t"), F.lit("x").alias("c")).repartition(4))
+    sizes, plain = [], clean.dedup
+
+    def seen(rows, *a):
+        sizes.append(rows.count())
+        return plain(rows, *a)
+
+    monkeypatch.setattr(clean, "dedup", seen)
+    got = clean.dedup_written(df, ["k"], ["t"], "last")
+    assert _rows(got) == _rows(plain(df, ["k"], ["t"], "last"))
+    assert 2400 <= sizes[0] < 2500
+    monkeypatch.setattr(clean, "FILTER_BITS", 12)   # too small for them: more rows pass, the result stays
+    assert _rows(clean.dedup_written(df, ["k"], ["t"], "last")) == _rows(got)
+    assert sizes[1] >= sizes[0]
+
+
+def test_negative_hashes_find_their_bit(spark):
+    hashes = spark.createDataFrame([(h,) for h in (-1, -2**63, 2**63 - 1, 0, 63, 64, -64, 12345678901)], "_kh long")
+    pieces = clean._filter_of(hashes)
+    others = spark.range(100, 5000).select(F.col("id").alias("_kh"))
+    assert clean._marked(hashes, pieces).where("_maybe").count() == hashes.count()
+    assert clean._marked(others, pieces).where("_maybe").count() == 0
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    """A job that writes rows leaves no shuffle behind, and the session's setting is given back."""
+    def shuffles():
+        root = spark._jvm.java.io.File(spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()[0].getPath())
+        return {f.getName() for d in root.listFiles() if d.isDirectory() for f in d.listFiles() if f.getName().startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = shuffles(), spark.conf.get(name)
+    df = clean.write_rows(clean.clustered(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), [F.col("k")]))
+    assert not shuffles() - before and spark.conf.get(name) == own
+    assert df.count() == 10
+
+
+def test_queries_on_silver_read_written_rows(spark):
+    """The panel's joins and the dedup run once, whatever the number of passes."""
+    for name in ("price_summary_cube", "regional_dense_ranking", "dash_kpis"):
+        read = E.queries()[name](spark, SF).inputFiles()
+        assert read and not any("lineitem" in f for f in read), name
+
+
+def test_silver_is_written_without_a_shuffle_for_its_dedup(spark, tmp_path):
+    """Rows lie by order after the panel's joins: the dedup by (order, line) needs no shuffle, and
+    what follows from a row's columns isn't moved."""
+    name, own = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "-1")
+    try:
+        plan = _plan(clean.dedup_keep_first(star_rows(spark, SF), STAR))
+    finally:
+        spark.conf.set(name, own)
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "l_linenumber" not in "".join(
+        x for x in plan.split("\n") if "hashpartitioning" in x and "l_linenumber" in x.split("hashpartitioning")[1])
+    rows = tmp_path / "rows"
+    got = star_silver(spark, SF, checkpoint=str(rows))
+    stored = spark.read.parquet(str(rows))
+    assert not {"price", "cost", "station_code"} & set(stored.columns) and stored.count() == stored.dropDuplicates(list(STAR.key)).count()
+    assert _rows(got.select(*STAR.key, "price", "cost", "pair_viable", "year")) == _rows(
+        build_silver(star_panel(spark, SF), STAR).select(*STAR.key, "price", "cost", "pair_viable", "year"))
