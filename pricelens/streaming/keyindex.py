@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import writing
 from ..sources import files
 
 PARTS = list(C.PARTITION_COLUMNS)
@@ -70,6 +71,10 @@ class KeyIndex:
         rows = [json.loads(r["value"]) for r in self.spark.read.option("recursiveFileLookup", "true").text(path).collect()]
         return max(rows, key=lambda s: s["batch"], default={})
 
+    def from_layer(self) -> bool:
+        """Was the index made from a layer that was there before it?"""
+        return files.path_exists(self.spark, f"{self.root}/state/batch={FIRST}")
+
     def _read(self, buckets: list[int]) -> DataFrame:
         """The rows of some buckets; only their folders are listed."""
         there = [p for b in buckets if files.path_exists(self.spark, p := f"{self.data}/bucket={b}")]
@@ -112,7 +117,8 @@ class KeyIndex:
             rest = self._read(sorted(split - touched)).unionByName(before).join(replaced, "key_hash", "left_anti")
             rows = (rest.select("key_hash", *PARTS).unionByName(entries.select("key_hash", *PARTS)).distinct()
                     .withColumn("bucket", bucket_of(F.col("key_hash"), new)))
-            rows.repartition(F.col("bucket")).write.mode("overwrite").parquet(staged)
+            with writing(spark):
+                rows.repartition(F.col("bucket")).write.mode("overwrite").parquet(staged)
             # buckets that are left without a row, if any, are cleared after
             left = {r["bucket"] for r in spark.read.parquet(staged).select("bucket").distinct().collect()}
             empty = sorted((touched | split) - left)
@@ -122,7 +128,8 @@ class KeyIndex:
         state = json.loads(spark.read.text(plan).first()["value"])
         merged = spark.read.schema(SCHEMA).parquet(staged)
         if not merged.isEmpty():
-            (merged.repartition(F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # staged rows lie by bucket, so they are written as they come
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("bucket").parquet(self.data))
         for b in state["empty"]:
             files.delete_path(spark, f"{self.data}/bucket={b}")
