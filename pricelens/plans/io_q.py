@@ -14,13 +14,14 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..config import STAR, silver_roles
 from ..operators import quality as Q
+from ..operators.clean import clustered, write_rows
 from ..session import scratch_path
 from ..sources import files
-from ..sources.panel import star_panel
+from ..sources.panel import star_columns, star_panel, star_rows
 from ..streaming.incremental import incremental_ingest
 from . import gold, gold_v1, pipeline
 from .quality_q import KEYS_V2, RULES_V2, bronze_raw, report_sql
-from .silver import silver_sql, star_silver
+from .silver import build_silver, silver_sql, star_silver
 from .stages import DIRTY_V2_SQL, KEY, RAW_V2_SQL, dirty_raw_v2, raw_v2
 
 RAW_V2_SCHEMA = T.StructType(
@@ -68,8 +69,8 @@ def q_file_profile(spark, d):
                    F.max(F.array_join("missing_columns", ",")).alias("missing_columns"))
 
 
-def _bronze_frame(spark, d):
-    raw = dirty_raw_v2(star_panel(spark, d))
+def _bronze_frame(spark, d, rows=None):
+    raw = dirty_raw_v2(star_panel(spark, d) if rows is None else star_columns(rows))
     return pipeline.add_technical_columns(raw, V2_ROLES, load_ts=LOAD_TS, source_file="raw",
                                           date_source="Data_Coleta")
 
@@ -84,9 +85,10 @@ def q_add_technical_columns(spark, d):
     return b.select(*KEY, *TECHNICAL, F.count(F.lit(1)).over(w).alias("same_id"))
 
 
-def _bronze(spark, d):
+def _bronze(spark, d, rows=None):
+    """``rows``: the panel's joined rows, written by month."""
     path = scratch_path(spark, "bronze")
-    files.write_layer(_bronze_frame(spark, d).filter("ano IS NOT NULL"), path)
+    files.write_layer(_bronze_frame(spark, d, rows).filter("ano IS NOT NULL"), path, clustered=rows is not None)
     return path
 
 
@@ -98,14 +100,24 @@ def q_bronze_scan(spark, d):
     return files.read_layer(spark, _bronze(spark, d)).groupBy("ano", "mes").count()
 
 
-def _silver(spark, d):
-    path, rows = scratch_path(spark, "silver"), scratch_path(spark, "rows")
-    s = star_silver(spark, d, checkpoint=rows).withColumns({"ano": F.col("year"), "mes": F.col("month")})
-    files.write_layer(s, path, clustered=True)
-    files.delete_path(spark, rows)
+def _silver(spark, d, rows=None):
+    """``rows`` as in ``_bronze``."""
+    path, kept = scratch_path(spark, "silver"), scratch_path(spark, "rows")
+    s = star_silver(spark, d, checkpoint=kept) if rows is None else build_silver(rows, STAR, written=True, derive=star_columns)
+    files.write_layer(s.withColumns({"ano": F.col("year"), "mes": F.col("month")}), path, clustered=True)
+    files.delete_path(spark, kept)
     return path
 
 
+def _layers(spark, d):
+    """(Bronze, Silver): both from the panel's joined rows, which are written once by month."""
+    path = scratch_path(spark, "panel")
+    rows = write_rows(clustered(star_rows(spark, d), [F.year("obs_date"), F.month("obs_date")]), path)
+    layers = _bronze(spark, d, rows), _silver(spark, d, rows)
+    files.delete_path(spark, path)
+    return layers
+
+
 def q_silver_write(spark, d):
     return files.read_layer(spark, _silver(spark, d)).select(
         *KEY, "product_norm", "brand_norm", "region_norm", "price", "margin_pct", "price_band", "ano", "mes")
@@ -140,7 +152,7 @@ def q_partition_inventory(spark, d):
 
 def q_layer_validation(spark, d):
     """The written layers, Gold with all its datasets, and the same with a layer missing."""
-    gold_root, bronze, silver = scratch_path(spark, "gold"), _bronze(spark, d), _silver(spark, d)
+    gold_root, (bronze, silver) = scratch_path(spark, "gold"), _layers(spark, d)
     _gold(spark, silver, gold_root)
     good = files.layer_validation(spark, {"bronze": bronze, "silver": silver, "gold": gold_root})
     bad = files.layer_validation(spark, {"bronze": bronze, "silver": f"{silver}-missing", "gold": gold_root})
@@ -149,10 +161,10 @@ def q_layer_validation(spark, d):
 
 
 def q_dataset_catalog(spark, d):
-    gold_root, silver = scratch_path(spark, "gold"), _silver(spark, d)
+    gold_root, (bronze, silver) = scratch_path(spark, "gold"), _layers(spark, d)
     written = _gold(spark, silver, gold_root)
     out = files.dataset_catalog(spark, [
-        files.catalog_entry("bronze", "observations", files.read_layer(spark, _bronze(spark, d)),
+        files.catalog_entry("bronze", "observations", files.read_layer(spark, bronze),
                             C.PARTITION_COLUMNS, "raw rows with technical columns"),
         files.catalog_entry("silver", "observations", files.read_layer(spark, silver),
                             C.PARTITION_COLUMNS, "cleaned, normalised, enriched rows"),

@@ -10,7 +10,7 @@ from pricelens import config as C
 from pricelens.config import STAR
 from pricelens.functions import quantiles
 from pricelens.operators import clean
-from pricelens.plans import jobs_v1, jobs_v1_q, silver_v1
+from pricelens.plans import io_q, jobs_v1, jobs_v1_q, silver_v1
 from pricelens.plans.silver import build_silver, star_silver
 from pricelens.session import SORTED_BYTES, compiled_code, small_splits
 from pricelens.sources import files
@@ -201,10 +201,10 @@ def test_many_repeated_keys_are_told_by_a_filter(spark, monkeypatch):
 
 def test_negative_hashes_find_their_bit(spark):
     hashes = spark.createDataFrame([(h,) for h in (-1, -2**63, 2**63 - 1, 0, 63, 64, -64, 12345678901)], "_kh long")
-    pieces = clean._filter_of(hashes)
+    pieces = clean.hash_filter(hashes)
     others = spark.range(100, 5000).select(F.col("id").alias("_kh"))
-    assert clean._marked(hashes, pieces).where("_maybe").count() == hashes.count()
-    assert clean._marked(others, pieces).where("_maybe").count() == 0
+    assert clean.marked(hashes, pieces).where("_maybe").count() == hashes.count()
+    assert clean.marked(others, pieces).where("_maybe").count() == 0
 
 
 def test_shuffle_files_go_with_their_job(spark):
@@ -244,3 +244,15 @@ def test_silver_is_written_without_a_shuffle_for_its_dedup(spark, tmp_path):
     assert not {"price", "cost", "station_code"} & set(stored.columns) and stored.count() == stored.dropDuplicates(list(STAR.key)).count()
     assert _rows(got.select(*STAR.key, "price", "cost", "pair_viable", "year")) == _rows(
         build_silver(star_panel(spark, SF), STAR).select(*STAR.key, "price", "cost", "pair_viable", "year"))
+
+
+def test_layers_of_one_query_share_the_panel(spark, monkeypatch):
+    """Bronze and Silver of the catalog come from rows that are joined once."""
+    joined, plain = [], io_q.star_rows
+    monkeypatch.setattr(io_q, "star_rows", lambda *a: joined.append(1) or plain(*a))
+    monkeypatch.setattr(io_q, "star_panel", lambda *a: joined.append(1) or star_panel(*a))
+    monkeypatch.setattr(io_q, "star_silver", lambda *a, **k: joined.append(1) or star_silver(*a, **k))
+    bronze, silver = io_q._layers(spark, SF)
+    assert len(joined) == 1
+    assert files.read_layer(spark, silver).count() == star_silver(spark, SF).count()
+    assert files.read_layer(spark, bronze).count() == io_q._bronze_frame(spark, SF).where("ano IS NOT NULL").count()
